@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 BLOCK_ROWS = 8192
 _BATCH = 512
@@ -83,12 +85,10 @@ def block_join(
                     lt, rt = l.take(pa.array(li)), r.take(pa.array(ri))
                     out = fn(lt, _matrix(lt["vec"]), rt, _matrix(rt["vec"]))
                     if out is not None and out.num_rows:
-                        parts.append(out)
-        return pa.concat_tables(parts) if parts else empty
+                        parts.append(out.cast(arrow_schema))
+        return pa.concat_tables(parts) if parts else arrow_schema.empty_table()
 
-    # An empty result with the types of the schema.
-    spark = left.sparkSession
-    empty = spark.createDataFrame([], schema).toArrow()
+    arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
     l = chunked(left, "_lb", "_lc", "_rb", "_rc").groupBy("_bin")
     r = chunked(right, "_rb", "_rc", "_lb", "_lc").groupBy("_bin")
     return l.cogroup(r).applyInArrow(run, schema)

@@ -71,11 +71,16 @@ def encode(
     df: DataFrame, dictionary: DataFrame, features: Sequence[str], mode: str = "value"
 ) -> DataFrame:
     """Replaces each listed column by its 0/1 array. Works for new rows as well."""
-    return df.withColumns(
-        {
-            f: multi_hot(F.col(f).cast("string"), categories_of(dictionary, f), mode)
-            for f in features
-        }
+    known = {f"_known_{f}": categories_of(dictionary, f) for f in features}
+    return (
+        df.withColumns(known)
+        .withColumns(
+            {
+                f: multi_hot(F.col(f).cast("string"), F.col(f"_known_{f}"), mode)
+                for f in features
+            }
+        )
+        .drop(*known)
     )
 
 

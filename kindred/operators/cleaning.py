@@ -44,6 +44,15 @@ def _shortened(word: Column) -> list[Column]:
     ]
 
 
+def _numbered(forms: Column, number: int) -> Column:
+    return F.transform(
+        forms,
+        lambda w, i: F.struct(
+            F.lit(number).alias("round"), i.alias("position"), w.alias("form")
+        ),
+    )
+
+
 def lemma_table(
     tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame, rounds: int = 3
 ) -> DataFrame:
@@ -68,7 +77,6 @@ def lemma_table(
         .select("token", F.lit(0).alias("round"), F.lit(0).alias("position"), "form")
     )
     level = F.array("token")
-    candidates = None
     rest = words.join(exceptions.select("token").distinct(), "token", "left_anti")
     rounds_of_forms = []
     for number in range(1, rounds + 1):
@@ -77,14 +85,7 @@ def lemma_table(
             lambda w: w.isNotNull() & (w != ""),
         )
         forms = F.concat(F.array("token"), level) if number == 1 else level
-        rounds_of_forms.append(
-            F.transform(
-                forms,
-                lambda w, i, n=number: F.struct(
-                    F.lit(n).alias("round"), i.alias("position"), w.alias("form")
-                ),
-            )
-        )
+        rounds_of_forms.append(_numbered(forms, number))
     candidates = rest.select(
         "token", F.inline(F.flatten(F.array(*rounds_of_forms)))
     ).unionByName(by_exception)

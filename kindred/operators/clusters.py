@@ -45,14 +45,14 @@ def nearest_centroid(
     table = centroids.agg(F.collect_list(F.struct("cluster_id", "centroid"))).scalar()
     best = F.array_min(
         F.transform(
-            table,
+            "_table",
             lambda c: F.struct(
                 F.round(euclidean(c.centroid, F.col("vec")), 9).alias("distance"),
                 c.cluster_id.alias("cluster_id"),
             ),
         )
     )
-    return records.select("record_id", best.alias("_b")).select(
+    return records.withColumn("_table", table).select("record_id", best.alias("_b")).select(
         "record_id", "_b.cluster_id", "_b.distance"
     )
 
@@ -96,7 +96,7 @@ def silhouette(records: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     partial = block_join(
         one_cell,
-        one_cell,
+        one_cell.select(*[F.col(c).alias(c) for c in one_cell.columns]),
         sums,
         f"record_id {id_type}, own {cluster_type}, other {cluster_type}, total DOUBLE",
         block_rows,
@@ -131,6 +131,7 @@ def squared_silhouette(records: DataFrame) -> float:
 def calinski_harabasz(records: DataFrame) -> DataFrame:
     """(calinski_harabasz): dispersion between clusters over dispersion within."""
     mean = records.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("vec"))))).scalar()
+    between = F.col("n") * squared_euclidean(F.col("centroid"), F.col("_mean"))
     centroids = centroid_table(records)
     per_cluster = (
         records.join(centroids, "cluster_id")
@@ -141,11 +142,11 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
             F.sum(squared_euclidean(F.col("vec"), F.col("centroid"))).alias("within"),
         )
     )
-    totals = per_cluster.agg(
+    totals = per_cluster.withColumn("_mean", mean).agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),
         F.sum("within").alias("within"),
-        F.sum(F.col("n") * squared_euclidean(F.col("centroid"), mean)).alias("between"),
+        F.sum(between).alias("between"),
     )
     ratio = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
     return totals.select(ratio.alias("calinski_harabasz"))

@@ -23,7 +23,7 @@ def member_distances(queries: DataFrame, corpus: DataFrame) -> DataFrame:
         .select(
             "query_id",
             F.col("record_id").alias("related_id"),
-            euclidean(F.col("query_vec"), F.col("vec")).alias("distance"),
+            F.round(euclidean(F.col("query_vec"), F.col("vec")), 9).alias("distance"),
         )
     )
 

@@ -84,9 +84,13 @@ def _ranked(found: DataFrame, keep: int) -> DataFrame:
     )
 
 
-def _unfold(ranked: DataFrame, mapping: DataFrame, k: int, query_id: str) -> DataFrame:
+def _unfold(
+    ranked: DataFrame, mapping: DataFrame, k: int, query_id: str, exclude_self: bool = True
+) -> DataFrame:
     """(query id, rank, id, dist) without the query itself."""
-    others = F.filter("neighbours", lambda n: ~n.id.eqNullSafe(F.col("qid")))
+    others = F.col("neighbours")
+    if exclude_self:
+        others = F.filter(others, lambda n: n.id != F.col("qid"))
     return (
         mapping.join(ranked, "q_key")
         .select("qid", F.posexplode(F.slice(others, 1, k)).alias("pos", "n"))
@@ -156,10 +160,10 @@ def _with_cells(queries: DataFrame, cells: DataFrame, need: int) -> DataFrame:
     ``_limit`` bounds the distance of the ``need``-th nearest record: the cells whose
     farthest possible member lies within it hold that many records together.
     """
-    with_cells = queries.withColumn(
+    with_cells = queries.withColumn("_bounds", _bounds(cells)).withColumn(
         "_cells",
         F.transform(
-            _bounds(cells),
+            "_bounds",
             lambda c: F.struct(
                 euclidean(c.centroid, F.col("vec")).alias("d"),
                 c.cell.alias("cell"),
@@ -179,7 +183,7 @@ def _with_cells(queries: DataFrame, cells: DataFrame, need: int) -> DataFrame:
             F.coalesce(acc.far, F.when(acc.n + c.n >= need, c.far)).alias("far"),
         ),
     )
-    return with_cells.withColumn("_limit", limit.far)
+    return with_cells.drop("_bounds").withColumn("_limit", limit["far"])
 
 
 def nearest(
@@ -193,6 +197,7 @@ def nearest(
     id_col: str = "record_id",
     vec_col: str = "vec",
     block_rows: int = BLOCK_ROWS,
+    exclude_self: bool = True,
 ) -> DataFrame:
     """(query_id, rank, related_id, distance): exact k nearest records of the whole corpus.
 
@@ -239,4 +244,4 @@ def nearest(
         "q_key", "n.dist", "n.id"
     )
     ranked = _ranked(first.unionByName(away_found), keep)
-    return _unfold(ranked, mapping, k, query_id)
+    return _unfold(ranked, mapping, k, query_id, exclude_self)

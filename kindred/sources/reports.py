@@ -30,7 +30,7 @@ def candidate_lines(candidates: DataFrame) -> DataFrame:
     pairs = F.transform(
         "candidates",
         lambda c: F.concat(
-            F.lit("('"), c.word, F.lit("', "), F.format_number(c.score, "0.0##"), F.lit(")")
+            F.lit("('"), c.word, F.lit("', "), c.score.cast("string"), F.lit(")")
         ),
     )
     return candidates.select(
