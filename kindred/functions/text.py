@@ -214,9 +214,12 @@ def clean_tokens(
     therefore stand for the four steps ascii_only, space_punctuation, tokenize and
     valid_tokens.
     """
-    masked = mask_phones(
-        mask_emails(mask_urls(strip_html(lower_trim(text), exact_html, drop_script)))
-    )
+    lowered = lower_trim(text)
+    # Texts without a tag or an entity skip the markup steps.
+    plain = F.when(
+        text.contains("<") | text.contains("&"), strip_html(lowered, exact_html, drop_script)
+    ).otherwise(lowered)
+    masked = mask_phones(mask_emails(mask_urls(plain)))
     runs = F.regexp_extract_all(masked, F.lit("[a-z_]+"), 0)
     return F.filter(runs, lambda t: _token_length_ok(t) & ~t.isin(list(stop_words)))
 

@@ -54,11 +54,16 @@ def block_join(
         F.ceil(F.col("_ln") / block_rows).cast("int").alias("_lc"),
         F.ceil(F.col("_rn") / block_rows).cast("int").alias("_rc"),
     )
+    spark = left.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
     bins = F.greatest(
         sizes.agg(
             F.ceil(F.sum(F.greatest("_ln", "_rn")) / block_rows).cast("long")
         ).scalar(),
-        F.lit(1),
+        F.lit(tasks).cast("long"),
     )
     # Small cells share a bin; each block of a large cell has its own.
     bin_of = F.when(
@@ -73,6 +78,9 @@ def block_join(
             .withColumn(own, F.pmod(F.xxhash64("vec"), F.col(own_n)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
             .select(*columns, "_lb", "_rb", bin_of.alias("_bin"))
+            # A fixed number: the blocks are small in bytes and heavy in work, so
+            # coalescing by size would leave cores idle.
+            .repartition(tasks, "_bin")
         )
 
     def run(l: pa.Table, r: pa.Table) -> pa.Table:

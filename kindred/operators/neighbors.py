@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.vectors import euclidean
 from kindred.operators.blocks import BLOCK_ROWS, block_join, nearest_rows
+from kindred.session import through_table
 
 
 def _fold_copies(df: DataFrame, id_col: str, vec_col: str, keep: int) -> DataFrame:
@@ -118,7 +119,10 @@ def nearest_in_group(
     grouped = queries.withColumn("cell", F.col(group_col))
     distinct, mapping = _fold_queries(grouped, query_id, query_vec, ["cell"])
     # A vector may occur in several groups: the representative id is one per group already.
-    folded = _fold_copies(corpus.withColumn("cell", F.col(group_col)), id_col, vec_col, k + 1)
+    folded = through_table(
+        _fold_copies(corpus.withColumn("cell", F.col(group_col)), id_col, vec_col, k + 1),
+        "folded",
+    )
     found = _nearest_in_cells(distinct, folded, k + 1, block_rows)
     return _unfold(_ranked(found, k + 1), mapping, k, query_id)
 
@@ -205,19 +209,26 @@ def nearest(
     hit there, or the bound from the cell radii when that is smaller, limits the second
     step: a cell can only hold a nearer record when the distance to its centroid minus
     its radius is within the limit. All other cells are skipped without a comparison.
+
+    The folded corpus and the first step are written to the scratch folder, because both
+    steps read them.
     """
     keep = k + 1
     distinct, mapping = _fold_queries(queries, query_id, query_vec, [])
-    folded = _fold_copies(
-        corpus.withColumn("cell", F.col(cell_col)), id_col, vec_col, keep
+    folded = through_table(
+        _fold_copies(corpus.withColumn("cell", F.col(cell_col)), id_col, vec_col, keep),
+        "folded",
     )
     by_distance = F.transform(
         "_cells", lambda c: F.struct(c.d.alias("d"), c.cell.alias("cell"))
     )
-    placed = _with_cells(distinct, cells, keep).withColumn("_home", F.array_min(by_distance))
+    placed = through_table(
+        _with_cells(distinct, cells, keep).withColumn("_home", F.array_min(by_distance)),
+        "placed",
+    )
     at_home = placed.select("q_key", "vec", F.col("_home.cell").alias("cell"))
     home_found = _nearest_in_cells(at_home, folded, keep, block_rows)
-    home_ranked = _ranked(home_found, keep)
+    home_ranked = through_table(_ranked(home_found, keep), "home")
     home_limit = home_ranked.where(F.size("neighbours") == keep).select(
         "q_key", F.element_at("neighbours", -1)["dist"].alias("_kth")
     )

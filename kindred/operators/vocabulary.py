@@ -162,7 +162,7 @@ def keyword_report(
         .agg(F.array_sort(F.collect_list(F.struct("rank", "phrase"))).alias("ranked"))
         .select("keyword", F.col("ranked.phrase").alias("phrases"))
     )
-    n_records = scored.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_records"))
+    n_records = keyword_records(records, counts)
     return (
         counts.join(phrases, "keyword")
         .join(words, "keyword")

@@ -40,6 +40,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df, key: str):
+    """Spreads rows by ``key`` when there are fewer input splits than cores.
+
+    Cleaning is bound by the processor, so a small input in one file would keep one core
+    busy. Inputs with enough splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def through_table(df, name: str):
     """Write ``df`` as Parquet to the scratch folder and read it back.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kindred.operators import labels
 from kindred.operators import vocabulary as voc
-from kindred.session import scratch_path
+from kindred.session import scratch_path, through_table
 from kindred.sources import reports
 from suite import views
 from suite.registry import query
@@ -113,7 +113,8 @@ def candidate_lines(spark, sf):
     ),
 )
 def cluster_keywords(spark, sf):
-    return views.keywords_by_source(spark, sf).withColumn("key_word", F.array_join("key_word", ","))
+    docs = views.tokens(spark, sf)
+    return views.keywords_by_source(docs).withColumn("key_word", F.array_join("key_word", ","))
 
 
 @query(
@@ -126,17 +127,16 @@ def cluster_keywords(spark, sf):
     ),
 )
 def record_keywords(spark, sf):
-    records = views.tokens(spark, sf).select("record_id", "cluster_id")
-    named = labels.attach_keywords(records, views.keywords_by_source(spark, sf))
+    docs = views.tokens(spark, sf)
+    records = docs.select("record_id", "cluster_id")
+    named = labels.attach_keywords(records, views.keywords_by_source(docs))
     return named.select("record_id", "cluster_id", F.array_join("key_word", ",").alias("key_word"))
 
 
-def named_clusters(spark, sf):
-    """(cluster_id, key_word, key_phrase)."""
-    keywords = views.keywords_by_source(spark, sf)
-    report = voc.keyword_report(
-        views.tokens(spark, sf), keywords.select(F.explode("key_word").alias("keyword"))
-    )
+def named_clusters(docs):
+    """(cluster_id, key_word, key_phrase) of a token table."""
+    keywords = through_table(views.keywords_by_source(docs), "keywords")
+    report = voc.keyword_report(docs, keywords.select(F.explode("key_word").alias("keyword")))
     return labels.key_phrases(keywords, report)
 
 
@@ -149,7 +149,7 @@ def named_clusters(spark, sf):
     ),
 )
 def key_phrases(spark, sf):
-    return named_clusters(spark, sf).select(
+    return named_clusters(views.tokens(spark, sf)).select(
         "cluster_id",
         F.array_join("key_word", ",").alias("key_word"),
         F.array_join("key_phrase", ";").alias("key_phrase"),
@@ -166,8 +166,9 @@ def key_phrases(spark, sf):
     ),
 )
 def keyword_table(spark, sf):
-    records = views.tokens(spark, sf).select("record_id", "cluster_id")
-    return labels.attach_keywords(records, named_clusters(spark, sf)).select(
+    docs = views.tokens(spark, sf)
+    records = docs.select("record_id", "cluster_id")
+    return labels.attach_keywords(records, named_clusters(docs)).select(
         "record_id",
         F.array_join("key_word", ",").alias("key_word"),
         F.array_join("key_phrase", ";").alias("key_phrase"),

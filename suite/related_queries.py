@@ -17,9 +17,9 @@ from suite.registry import query
 from suite.sql import with_ctes
 
 
-def _vectors(spark, sf):
+def _vectors(docs):
     """Document vectors as a stored table: every step below reads them."""
-    return through_table(views.document_vectors(spark, sf), "vectors")
+    return through_table(views.document_vectors(docs), "vectors")
 
 
 def _reviewed(spark, sf, corpus):
@@ -32,8 +32,8 @@ def _cells(corpus):
     )
 
 
-def _candidates(spark, sf):
-    corpus = _vectors(spark, sf)
+def _candidates(spark, sf, docs=None):
+    corpus = _vectors(docs or views.tokens(spark, sf))
     return related.candidates(_reviewed(spark, sf, corpus), corpus, _cells(corpus))
 
 
@@ -43,16 +43,18 @@ def _categories(spark, sf):
     return cat.encode(clean, cat.category_dictionary(clean, EXPLAIN_FEATURES), EXPLAIN_FEATURES)
 
 
-def _fields(spark, sf):
-    return embedding.widen_fields(field_vectors(spark, sf), TEXT_FIELDS)
+def _fields(spark, sf, docs):
+    """Field vectors as a stored table: both sides of a pair read them."""
+    wide = embedding.widen_fields(field_vectors(spark, sf, docs), TEXT_FIELDS)
+    return through_table(wide, "fields")
 
 
 def _of_queries(table):
     return table.withColumnRenamed("record_id", "query_id")
 
 
-def _tags(spark, sf, corpus):
-    return corpus.select("record_id", "cluster_id").join(named_clusters(spark, sf), "cluster_id")
+def _tags(docs):
+    return docs.select("record_id", "cluster_id").join(named_clusters(docs), "cluster_id")
 
 
 @query(
@@ -77,9 +79,10 @@ def candidate_union(spark, sf):
     ),
 )
 def related_ranked(spark, sf):
-    corpus = _vectors(spark, sf)
+    docs = views.tokens(spark, sf)
+    corpus = _vectors(docs)
     found = related.candidates(_reviewed(spark, sf, corpus), corpus, _cells(corpus))
-    full = related.enrich(found, views.records(spark, sf), _tags(spark, sf, corpus))
+    full = related.enrich(found, views.records(spark, sf), _tags(docs))
     return related.by_distance(
         full.withColumns(
             {
@@ -91,10 +94,8 @@ def related_ranked(spark, sf):
     )
 
 
-def _scores(spark, sf, vectors, names):
-    scored = explain.pair_scores(
-        _candidates(spark, sf), _of_queries(vectors), vectors, names, "scores"
-    )
+def _scores(found, vectors, names):
+    scored = explain.pair_scores(found, _of_queries(vectors), vectors, names, "scores")
     return scored.select("query_id", "related_id", F.inline("scores")).withColumn(
         "score", F.round("score", 6) + F.lit(0.0)
     )
@@ -107,7 +108,8 @@ def _scores(spark, sf, vectors, names):
     ),
 )
 def field_scores(spark, sf):
-    return _scores(spark, sf, _fields(spark, sf), TEXT_FIELDS)
+    docs = views.tokens(spark, sf)
+    return _scores(_candidates(spark, sf, docs), _fields(spark, sf, docs), TEXT_FIELDS)
 
 
 @query(
@@ -118,19 +120,21 @@ def field_scores(spark, sf):
     ),
 )
 def category_scores(spark, sf):
-    return _scores(spark, sf, _categories(spark, sf), EXPLAIN_FEATURES)
+    return _scores(_candidates(spark, sf), _categories(spark, sf), EXPLAIN_FEATURES)
 
 
 def _corpus_and_queries(spark, sf):
-    vectors = _vectors(spark, sf)
-    fields, categories = _fields(spark, sf), _categories(spark, sf)
-    records = views.records(spark, sf)
+    docs = views.tokens(spark, sf)
+    vectors = _vectors(docs)
+    fields = _fields(spark, sf, docs)
+    records = through_table(views.records(spark, sf), "records")
+    categories = _categories(spark, sf)
     corpus = Corpus(
         vectors=vectors,
         cells=_cells(vectors),
         centroids=clusters.centroid_table(vectors),
         texts=records.select("record_id", "description"),
-        tags=_tags(spark, sf, vectors),
+        tags=_tags(docs),
         fields=fields,
         categories=categories,
         cell_col="cluster_id",
@@ -187,7 +191,7 @@ def query_metadata(spark, sf):
 
 _NESTED = with_ctes(
     "flat",
-    """SELECT query_id AS bug_id, 0 AS page, string_agg(related_id || ':' || printf('%.6f', distance) || ':'
+    """SELECT query_id AS bug_id, 0 AS page, string_agg(related_id || ':' || printf('%.9f', distance) || ':'
            || key_feature || ':' || array_to_string(key_word, ',') || ':' || array_to_string(key_phrase, ';')
            || ':' || query_severity || ':' || query_manager || ':' || query_engineer || ':' || description,
            '|' ORDER BY distance, related_id) AS list_of_rel_bugs

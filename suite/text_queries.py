@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kindred.config import TEXT_FIELDS
 from kindred.functions import text as tx
 from kindred.operators import cleaning, vocabulary
+from kindred.session import spread
 from suite import sql as s
 from suite import views
 from suite.registry import query
@@ -18,7 +19,7 @@ def _on_documents(name, spark_fn, sql_fn, out="text"):
 
     @query(name, f"SELECT doc_id, {sql_fn('text')} AS {out} FROM documents")
     def run(spark, sf):
-        return views.table(spark, sf, "documents").select(
+        return spread(views.table(spark, sf, "documents"), "doc_id").select(
             "doc_id", spark_fn(F.col("text")).alias(out)
         )
 

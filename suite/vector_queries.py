@@ -118,7 +118,7 @@ def knn_top20(spark, sf):
 )
 def within_cluster_dist(spark, sf):
     """The records under review against all members of their cluster."""
-    corpus = views.document_vectors(spark, sf)
+    corpus = views.document_vectors(views.tokens(spark, sf))
     queries = views.as_queries(corpus.join(views.flagged(spark, sf), "record_id", "left_semi"))
     return duplicates.member_distances(queries, corpus).select(
         "query_id", "related_id", r6(F.col("distance")).alias("distance")

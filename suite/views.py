@@ -9,6 +9,7 @@ from kindred.config import TEXT_FIELDS
 from kindred.functions import text as tx
 from kindred.functions.scalars import message
 from kindred.operators import embedding, labels, vocabulary
+from kindred.session import spread, through_table
 
 AS_OF = "2025-06-01 00:00:00"
 # Length, first letter, last letter, number of "e": a fixed vector per word.
@@ -29,7 +30,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     The oldest record with the same text is the known duplicate. Copies are counted by a
     digest of the text, so only digests and ids are aggregated.
     """
-    documents = table(spark, sf, "documents").withColumn("digest", F.sha2("text", 256))
+    documents = spread(table(spark, sf, "documents"), "doc_id").withColumn("digest", F.sha2("text", 256))
     first_copies = (
         documents.groupBy("digest")
         .agg(F.min(record_id()).alias("first_id"), F.count(F.lit(1)).alias("copies"))
@@ -91,12 +92,17 @@ def new_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """(record_id, cluster_id, tokens): clean tokens of each document, source as cluster."""
-    return table(spark, sf, "documents").select(
+    """(record_id, cluster_id, tokens): clean tokens of each document, source as cluster.
+
+    A stored table, because the queries read it more than once.
+    """
+    documents = spread(table(spark, sf, "documents"), "doc_id")
+    cleaned = documents.select(
         record_id().alias("record_id"),
         F.col("source").alias("cluster_id"),
         tx.clean_tokens(F.col("text")).alias("tokens"),
     )
+    return through_table(cleaned, "tokens")
 
 
 def word_vectors(token_table: DataFrame) -> DataFrame:
@@ -114,9 +120,8 @@ def word_vectors(token_table: DataFrame) -> DataFrame:
     )
 
 
-def document_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """(record_id, cluster_id, vec): mean word vector per document."""
-    docs = tokens(spark, sf)
+def document_vectors(docs: DataFrame) -> DataFrame:
+    """(record_id, cluster_id, vec): mean word vector per document of a token table."""
     vectors = embedding.embed(docs, word_vectors(docs), WORD_SIZE)
     return vectors.join(docs.select("record_id", "cluster_id"), "record_id").select(
         "record_id", "cluster_id", F.col("vector").alias("vec")
@@ -138,15 +143,16 @@ def as_queries(corpus: DataFrame) -> DataFrame:
     )
 
 
-def keywords_by_source(spark: SparkSession, sf: str) -> DataFrame:
+def keywords_by_source(docs: DataFrame) -> DataFrame:
     """(cluster_id, key_word): keywords of each source."""
-    scores = labels.token_scores(tokens(spark, sf))
+    scores = labels.token_scores(docs)
     return labels.cluster_keywords(labels.candidate_lists(labels.fused_ranking(scores)))
 
 
-def keyword_list(spark: SparkSession, sf: str) -> DataFrame:
-    """(keyword): the distinct keywords of all sources."""
-    return keywords_by_source(spark, sf).select(F.explode("key_word").alias("keyword")).distinct()
+def keyword_list(docs: DataFrame) -> DataFrame:
+    """(keyword): the distinct keywords of all sources, as a stored table."""
+    keywords = keywords_by_source(docs).select(F.explode("key_word").alias("keyword"))
+    return through_table(keywords.distinct(), "keywords")
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:

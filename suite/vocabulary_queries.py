@@ -47,7 +47,8 @@ def wordcount_lists(spark, sf):
     with_ctes("containing", "SELECT keyword, count(*) AS n_records FROM containing GROUP BY keyword"),
 )
 def keyword_docs(spark, sf):
-    return voc.keyword_records(views.tokens(spark, sf), views.keyword_list(spark, sf))
+    docs = views.tokens(spark, sf)
+    return voc.keyword_records(docs, views.keyword_list(docs))
 
 
 @query(
@@ -55,7 +56,8 @@ def keyword_docs(spark, sf):
     with_ctes("top5", "SELECT keyword, word, n, CAST(rank AS INTEGER) AS rank FROM top5"),
 )
 def cooccur_top5(spark, sf):
-    return voc.cooccurring_words(views.tokens(spark, sf), views.keyword_list(spark, sf))
+    docs = views.tokens(spark, sf)
+    return voc.cooccurring_words(docs, views.keyword_list(docs))
 
 
 @query(
@@ -67,7 +69,8 @@ def cooccur_top5(spark, sf):
     ),
 )
 def representative(spark, sf):
-    scored = voc.scored_records(views.tokens(spark, sf), views.keyword_list(spark, sf))
+    docs = views.tokens(spark, sf)
+    scored = voc.scored_records(docs, views.keyword_list(docs))
     return voc.representative_record(scored)
 
 
@@ -78,12 +81,14 @@ def representative(spark, sf):
     ),
 )
 def kwic(spark, sf):
-    scored = voc.scored_records(views.tokens(spark, sf), views.keyword_list(spark, sf))
+    docs = views.tokens(spark, sf)
+    scored = voc.scored_records(docs, views.keyword_list(docs))
     return voc.context_phrases(scored)
 
 
 def _report(spark, sf):
-    return voc.keyword_report(views.tokens(spark, sf), views.keyword_list(spark, sf))
+    docs = views.tokens(spark, sf)
+    return voc.keyword_report(docs, views.keyword_list(docs))
 
 
 @query(
