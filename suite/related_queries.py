@@ -33,7 +33,7 @@ def _cells(corpus):
 
 
 def _candidates(spark, sf, docs=None):
-    corpus = _vectors(docs or views.tokens(spark, sf))
+    corpus = _vectors(views.tokens(spark, sf) if docs is None else docs)
     return related.candidates(_reviewed(spark, sf, corpus), corpus, _cells(corpus))
 
 
