@@ -133,15 +133,13 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
     mean = records.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("vec"))))).scalar()
     between = F.col("n") * squared_euclidean(F.col("centroid"), F.col("_mean"))
     centroids = centroid_table(records)
-    per_cluster = (
+    measured = (
         records.join(centroids, "cluster_id")
+        .select("cluster_id", squared_euclidean(F.col("vec"), F.col("centroid")).alias("d"))
         .groupBy("cluster_id")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.any_value("centroid").alias("centroid"),
-            F.sum(squared_euclidean(F.col("vec"), F.col("centroid"))).alias("within"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("within"))
     )
+    per_cluster = measured.join(centroids, "cluster_id")
     totals = per_cluster.withColumn("_mean", mean).agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),

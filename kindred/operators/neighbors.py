@@ -20,6 +20,10 @@ from kindred.operators.blocks import BLOCK_ROWS, block_join, nearest_rows
 from kindred.session import through_table
 
 
+# Cells whose centroids every task may hold.
+MAX_CELLS = 10_000
+
+
 def _fold_copies(df: DataFrame, id_col: str, vec_col: str, keep: int) -> DataFrame:
     """(cell, vec, ids): one row per distinct vector of a cell, its lowest ids in order.
 
@@ -134,16 +138,14 @@ def cell_table(
 
     ``centroids`` holds (cell, centroid). The radius is the largest distance of a member.
     """
-    return (
+    measured = (
         corpus.select(F.col(cell_col).alias("cell"), F.col(vec_col).alias("_v"))
         .join(centroids, "cell")
+        .select("cell", euclidean(F.col("_v"), F.col("centroid")).alias("d"))
         .groupBy("cell")
-        .agg(
-            F.any_value("centroid").alias("centroid"),
-            F.max(euclidean(F.col("_v"), F.col("centroid"))).alias("radius"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("n"))
     )
+    return centroids.join(measured, "cell").select("cell", "centroid", "radius", "n")
 
 
 def mean_cells(corpus: DataFrame, cell_col: str, vec_col: str = "vec") -> DataFrame:
@@ -213,6 +215,9 @@ def nearest(
     The folded corpus and the first step are written to the scratch folder, because both
     steps read them.
     """
+    count = cells.count()
+    if count > MAX_CELLS:
+        raise ValueError(f"{count} cells exceed {MAX_CELLS}; group them into coarser cells")
     keep = k + 1
     distinct, mapping = _fold_queries(queries, query_id, query_vec, [])
     folded = through_table(

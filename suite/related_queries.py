@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kindred.config import EXPLAIN_FEATURES, TEXT_FIELDS
 from kindred.operators import categories as cat
-from kindred.operators import cleaning, clusters, embedding, explain, neighbors, related
+from kindred.operators import cleaning, clusters, explain, neighbors, related
 from kindred.plans.report import Corpus, Queries, related_report
 from kindred.session import scratch_path, through_table
 from kindred.sources import json_docs
@@ -45,8 +45,7 @@ def _categories(spark, sf):
 
 def _fields(spark, sf, docs):
     """Field vectors as a stored table: both sides of a pair read them."""
-    wide = embedding.widen_fields(field_vectors(spark, sf, docs), TEXT_FIELDS)
-    return through_table(wide, "fields")
+    return through_table(field_vectors(spark, sf, docs), "fields")
 
 
 def _of_queries(table):

@@ -33,9 +33,9 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     documents = spread(table(spark, sf, "documents"), "doc_id").withColumn("digest", F.sha2("text", 256))
     first_copies = (
         documents.groupBy("digest")
-        .agg(F.min(record_id()).alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .select("digest", "first_id")
+        .select("digest", record_id("first_doc").alias("first_id"))
     )
     lines = F.split("text", "\n")
     own = record_id()
@@ -115,17 +115,18 @@ def word_vectors(token_table: DataFrame) -> DataFrame:
         F.ascii(F.right(token, F.lit(1))),
         F.length(token) - F.length(F.replace(token, F.lit("e"), F.lit(""))),
     ]
-    return words.select(
+    vectors = words.select(
         token.alias("word"), F.array(*[p.cast("double") for p in parts]).alias("vector")
     )
+    return through_table(vectors, "words")
 
 
 def document_vectors(docs: DataFrame) -> DataFrame:
     """(record_id, cluster_id, vec): mean word vector per document of a token table."""
-    vectors = embedding.embed(docs, word_vectors(docs), WORD_SIZE)
-    return vectors.join(docs.select("record_id", "cluster_id"), "record_id").select(
-        "record_id", "cluster_id", F.col("vector").alias("vec")
+    vectors = embedding.embed(
+        docs, word_vectors(docs), WORD_SIZE, keys=("record_id", "cluster_id")
     )
+    return vectors.withColumnRenamed("vector", "vec")
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:

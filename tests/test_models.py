@@ -67,9 +67,32 @@ def test_embedding_ignores_unknown_words(spark):
     words = spark.createDataFrame(
         [("x", [1.0, 0.0]), ("y", [4.0, 3.0])], "word STRING, vector ARRAY<DOUBLE>"
     )
-    got = {r.record_id: r.vector for r in embedding.embed(records, words, 2).collect()}
-    assert got["a"] == pytest.approx([2.0, 1.0])
-    assert got["b"] == got["c"] == [0.0, 0.0]
+    for limit in (100, 0):  # in the tasks, by join
+        found = embedding.embed(records, words, 2, max_local_values=limit)
+        got = {r.record_id: r.vector for r in found.collect()}
+        assert got["a"] == pytest.approx([2.0, 1.0])
+        assert got["b"] == got["c"] == [0.0, 0.0]
+
+
+def test_field_embeddings_agree_on_both_ways(spark):
+    rng = np.random.default_rng(6)
+    names = [f"w{i}" for i in range(30)]
+    rows = [
+        (f"r{i}", list(rng.choice(names, rng.integers(0, 9))), list(rng.choice(names, 3)))
+        for i in range(25)
+    ]
+    rows = [(a, [str(x) for x in b], [str(x) for x in c]) for a, b, c in rows]
+    records = spark.createDataFrame(rows, "record_id STRING, f ARRAY<STRING>, g ARRAY<STRING>")
+    vectors = {w: rng.normal(size=4).tolist() for w in names[:20]}
+    words = spark.createDataFrame(list(vectors.items()), "word STRING, vector ARRAY<DOUBLE>")
+    for limit in (1000, 0):
+        found = embedding.embed_fields(records, words, 4, ["f", "g"], max_local_values=limit)
+        got = {r.record_id: r for r in found.collect()}
+        for name, f, g in rows:
+            for column, tokens in (("f", f), ("g", g)):
+                known = [vectors[t] for t in tokens if t in vectors]
+                want = np.mean(known, axis=0) if known else np.zeros(4)
+                assert np.allclose(got[name][column], want)
 
 
 def test_word_vectors_cover_the_vocabulary(spark):
