@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_WORDS = 5
 TOP_RECORDS = 5
 WORDS_BEFORE, WORDS_AFTER = 2, 2
+# Pairs counted at once inside a task.
+_PAIRS = 4_000_000
 
 
 def vocabulary(records: DataFrame, tokens_col: str = "tokens") -> DataFrame:
@@ -39,8 +46,8 @@ def _hits(records: DataFrame, keywords: DataFrame) -> DataFrame:
     ).join(keywords.select("keyword").distinct(), "keyword")
 
 
-def _containing(records: DataFrame, keywords: DataFrame) -> DataFrame:
-    """(keyword, record_id, tokens): the hits with the token list of the record.
+def _with_keywords(records: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(record_id, tokens, keywords) for the records that hold a keyword.
 
     The keywords of a record come back to it as one list, so a token list is shuffled at
     most once and not once per word.
@@ -50,11 +57,50 @@ def _containing(records: DataFrame, keywords: DataFrame) -> DataFrame:
         .groupBy("record_id")
         .agg(F.collect_list("keyword").alias("keywords"))
     )
-    return (
-        records.select("record_id", "tokens")
-        .join(per_record, "record_id")
-        .select(F.explode("keywords").alias("keyword"), "record_id", "tokens")
-    )
+    return records.select("record_id", "tokens").join(per_record, "record_id")
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row number and word number of every list item, and the distinct words."""
+    words = column.flatten().dictionary_encode()
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(column)), lengths)
+    return rows, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(keyword, word, n) summed within slices of a batch.
+
+    Repeats of a word in a record are counted first; the keyword and word pairs then
+    exist only as numbers, at most ``_PAIRS`` at a time beyond one record.
+    """
+    for batch in batches:
+        row, code, words = _lists(batch.column("tokens"))
+        key_row, key_code, keys = _lists(batch.column("keywords"))
+        if not len(key_row) or not len(row):
+            continue
+        width = len(words)
+        cells, times = np.unique(row * width + code, return_counts=True)
+        cell_row, cell_code = np.divmod(cells, width)
+        first = np.searchsorted(cell_row, np.arange(batch.num_rows + 1))
+        reach = np.cumsum(first[key_row + 1] - first[key_row])
+        start = 0
+        while start < len(key_row):
+            done = reach[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(reach, done + _PAIRS, side="right")))
+            part = slice(start, end)
+            sizes = first[key_row[part] + 1] - first[key_row[part]]
+            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at = np.repeat(first[key_row[part]], sizes) + inside
+            pair = np.repeat(key_code[part], sizes) * width + cell_code[at]
+            pairs, where = np.unique(pair, return_inverse=True)
+            total = np.bincount(where, weights=times[at]).astype(np.int64)
+            keyword, word = np.divmod(pairs, width)
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(keyword)), words.take(pa.array(word)), pa.array(total)],
+                names=["keyword", "word", "n"],
+            )
+            start = end
 
 
 def keyword_records(records: DataFrame, keywords: DataFrame) -> DataFrame:
@@ -71,15 +117,16 @@ def cooccurring_words(
 ) -> DataFrame:
     """(keyword, word, n, rank): most frequent words over the containing records.
 
-    (keyword, word) counts are summed per task before the shuffle; the ranking keeps
-    ``top`` rows per keyword and task before it shuffles again.
+    Counts are summed in Arrow batches before the shuffle, which was measured several
+    times faster here than exploding every pair into a row. The ranking keeps ``top``
+    rows per keyword and task before it shuffles again.
     """
-    counts = (
-        _containing(records, keywords)
-        .select("keyword", F.explode("tokens").alias("word"))
-        .groupBy("keyword", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
+    partial = (
+        _with_keywords(records, keywords)
+        .select("tokens", "keywords")
+        .mapInArrow(_pair_counts, "keyword STRING, word STRING, n LONG")
     )
+    counts = partial.groupBy("keyword", "word").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("keyword").orderBy(F.desc("n"), "word")
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
@@ -108,7 +155,8 @@ def scored_records(
     start = F.greatest(first - WORDS_BEFORE, F.lit(1))
     phrase = F.slice("tokens", start, first + WORDS_AFTER - start + 1)
     return (
-        _containing(records, keywords)
+        _with_keywords(records, keywords)
+        .select(F.explode("keywords").alias("keyword"), "record_id", "tokens")
         .join(words, "keyword")
         .select(
             "keyword",

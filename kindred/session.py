@@ -15,6 +15,8 @@ def local_session(cpus: int = 8, app: str = "kindred") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test data, heavy work per byte: keep all cores busy after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")

@@ -57,7 +57,8 @@ def cluster_ig(spark, sf):
 
 
 def _fused(spark, sf):
-    return labels.fused_ranking(labels.token_scores(views.tokens(spark, sf)))
+    scores = through_table(labels.token_scores(views.tokens(spark, sf)), "scores")
+    return labels.fused_ranking(scores)
 
 
 @query(

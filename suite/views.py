@@ -146,7 +146,7 @@ def as_queries(corpus: DataFrame) -> DataFrame:
 
 def keywords_by_source(docs: DataFrame) -> DataFrame:
     """(cluster_id, key_word): keywords of each source."""
-    scores = labels.token_scores(docs)
+    scores = through_table(labels.token_scores(docs), "scores")
     return labels.cluster_keywords(labels.candidate_lists(labels.fused_ranking(scores)))
 
 
