@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from kindred.session import through_table
+
 BLOCK_ROWS = 8192
 _BATCH = 512
 
@@ -47,12 +49,16 @@ def block_join(
     """
     left_n = left.groupBy("cell").agg(F.count(F.lit(1)).alias("_ln"))
     right_n = right.groupBy("cell").agg(F.count(F.lit(1)).alias("_rn"))
-    sizes = left_n.join(right_n, "cell").select(
-        "cell",
-        "_ln",
-        "_rn",
-        F.ceil(F.col("_ln") / block_rows).cast("int").alias("_lc"),
-        F.ceil(F.col("_rn") / block_rows).cast("int").alias("_rc"),
+    # One row per cell, read several times below.
+    sizes = through_table(
+        left_n.join(right_n, "cell").select(
+            "cell",
+            "_ln",
+            "_rn",
+            F.ceil(F.col("_ln") / block_rows).cast("int").alias("_lc"),
+            F.ceil(F.col("_rn") / block_rows).cast("int").alias("_rc"),
+        ),
+        "sizes",
     )
     spark = left.sparkSession
     tasks = max(

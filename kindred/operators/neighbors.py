@@ -43,7 +43,9 @@ def _fold_copies(df: DataFrame, id_col: str, vec_col: str, keep: int) -> DataFra
 def _fold_queries(df: DataFrame, id_col: str, vec_col: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(distinct query vectors with a representative id, map from each id to it)."""
     named = df.select(*keys, F.col(vec_col).alias("vec"), F.col(id_col).alias("qid"))
-    distinct = named.groupBy(*keys, "vec").agg(F.min("qid").alias("q_key"))
+    distinct = through_table(
+        named.groupBy(*keys, "vec").agg(F.min("qid").alias("q_key")), "queries"
+    )
     mapping = named.join(distinct, [*keys, "vec"]).select("qid", "q_key")
     return distinct, mapping
 
