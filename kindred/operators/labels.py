@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.session import through_table
+
 TOP_TOKENS = 10
 KEYWORDS = 3
 FIRST_POINTS, POINT_STEP = 2.0, 0.1
@@ -51,13 +53,18 @@ def _gain(count: Column, df: Column, size: Column, total: Column) -> Column:
 
 
 def token_scores(records: DataFrame) -> DataFrame:
-    """(cluster_id, token, f1, gain), both rounded to 12 digits."""
-    counts = cluster_token_counts(records)
+    """(cluster_id, token, f1, gain), both rounded to 12 digits.
+
+    The counts are stored, so the texts are read once, and so are the frequencies, so
+    that adaptive execution can split a token that occurs in very many clusters.
+    """
+    counts = through_table(cluster_token_counts(records), "cluster-tokens")
+    frequencies = through_table(document_frequency(counts), "token-frequencies")
     sizes = cluster_sizes(records)
     total = sizes.agg(F.sum("size")).scalar()
     c, d, s = (F.col(x).cast("double") for x in ("cluster_df", "df", "size"))
     return (
-        counts.join(document_frequency(counts), "token")
+        counts.join(frequencies, "token")
         .join(sizes, "cluster_id")
         .select(
             "cluster_id",

@@ -94,7 +94,12 @@ def _ranked(found: DataFrame, keep: int) -> DataFrame:
 def _unfold(
     ranked: DataFrame, mapping: DataFrame, k: int, query_id: str, exclude_self: bool = True
 ) -> DataFrame:
-    """(query id, rank, id, dist) without the query itself."""
+    """(query id, rank, id, dist) without the query itself.
+
+    The ranking is stored first: both sides of the join then come straight from a
+    shuffle, the form in which adaptive execution splits a key with very many copies.
+    """
+    ranked = through_table(ranked, "ranked")
     others = F.col("neighbours")
     if exclude_self:
         others = F.filter(others, lambda n: n.id != F.col("qid"))
