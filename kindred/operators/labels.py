@@ -41,7 +41,7 @@ def _f1(count: Column, df: Column, size: Column) -> Column:
 
 
 def _gain(count: Column, df: Column, size: Column, total: Column) -> Column:
-    """The two gain terms of the reference formula; 0 for the second when it is empty."""
+    """Two terms of an information gain; the second is 0 when it is empty."""
     inside = count / df
     outside_count = total - size - (df - count)
     outside = F.when(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kindred.config import EXPLAIN_FEATURES, TEXT_FIELDS
 from kindred.operators import categories as cat
 from kindred.operators import cleaning, clusters, explain, neighbors, related
-from kindred.plans.report import Corpus, Queries, related_report
+from kindred.plans.report import Corpus, Queries, explained, related_report
 from kindred.session import scratch_path, through_table
 from kindred.sources import json_docs
 from suite import views
@@ -156,8 +156,6 @@ def _report(spark, sf):
 
 @query("key_feature", with_ctes("explained", "SELECT query_id, related_id, key_feature FROM explained"))
 def key_feature(spark, sf):
-    from kindred.plans.report import explained
-
     corpus, queries = _corpus_and_queries(spark, sf)
     found = related.candidates(queries.vectors, corpus.vectors, corpus.cells, 20, corpus.cell_col)
     return explained(found, queries, corpus).select("query_id", "related_id", "key_feature")

@@ -8,12 +8,10 @@ from __future__ import annotations
 
 from kindred.config import TEXT_FIELDS
 from kindred.functions.text import (
-    CUSTOM_STOP_WORDS,
     ENGLISH_STOP_WORDS,
     STOP_WORDS,
     WHITESPACE,
 )
-from suite.views import AS_OF
 
 
 def literal(text: str) -> str:
