@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def local_session(cpus: int = 8, app: str = "kindred") -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
@@ -30,18 +31,27 @@ def local_session(cpus: int = 8, app: str = "kindred") -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
 
-    The cluster names that folder; only where it is unset (tests on one machine)
-    a temporary folder takes its place.
+    The cluster names that folder. Where it is unset, a temporary folder takes its place on
+    a single machine (master ``local``); a cluster raises, because its executors would
+    write to folders that nobody else sees.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="kindred-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(df, key: str):
     """Spreads rows by ``key`` when there are fewer input splits than cores.
 
