@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import exact, mixing, shards
+from kindred.llm import exact, jaccard, mixing, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,36 @@ def op5(spark, sf):
 @query("op7_minimax_sharding")
 def op7(spark, sf):
     return shards.shard(table(spark, sf, "documents"))
+
+
+@query(
+    "op10_ngram_jaccard",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+      lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM w
+), n AS MATERIALIZED (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM n a JOIN n b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM s
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a
+)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, min(reached.other) AS component_id
+FROM s JOIN reached USING (doc_id) GROUP BY ALL
+""",
+)
+def op10(spark, sf):
+    return jaccard.similarity_classes(table(spark, sf, "documents"))
