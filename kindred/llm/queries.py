@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import exact, jaccard, mixing, shards
+from kindred.llm import exact, jaccard, lm, mixing, quality, shards
+from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -127,3 +128,15 @@ FROM s JOIN reached USING (doc_id) GROUP BY ALL
 )
 def op10(spark, sf):
     return jaccard.similarity_classes(table(spark, sf, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3(spark, sf):
+    return quality.classify(
+        table(spark, sf, "documents"), table(spark, sf, "labels"), remainder("doc_id", 3) == 1
+    )
+
+
+@query("op4_lm_scoring")
+def op4(spark, sf):
+    return lm.perplexities(table(spark, sf, "documents"), remainder("doc_id", 5) == 1).drop("perplexity")
