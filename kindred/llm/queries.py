@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kindred.llm import exact, jaccard, lm, mixing, quality, shards
+from kindred.llm import exact, jaccard, lm, mixing, quality, secrets, shards
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,16 @@ def op3(spark, sf):
 @query("op4_lm_scoring")
 def op4(spark, sf):
     return lm.perplexities(table(spark, sf, "documents"), remainder("doc_id", 5) == 1).drop("perplexity")
+
+
+@query("op1_secret_scan", secrets.scan_sql())
+def op1(spark, sf):
+    found = secrets.scan(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.concat_ws(",", "base"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"),
+    )
