@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import exact, jaccard, lm, mixing, quality, secrets, shards
+from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,36 @@ def op1(spark, sf):
         F.sha2(F.concat_ws(",", "base"), 256).alias("base_sha256"),
         F.concat_ws(",", "spans").alias("spans"),
     )
+
+
+@query("op8_benchmark_decontamination")
+def op8(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query(
+    "op9_chat_formatting",
+    r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### : </turn>') + 1 + length(regexp_replace(role || text, '[\\#<]', '..', 'g')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+""",
+)
+def op9(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(r"\### Assistant: </turn> ok")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said.alias("text"),
+    )
+    return chat.digests(chat.format_conversations(turns.unionByName(hard)))
