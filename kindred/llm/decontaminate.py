@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -176,3 +177,21 @@ def contaminated(
         item_kind = {"int": pa.int32(), "bigint": pa.int64()}.get(kinds[1], pa.string())
         out = out.unionByName(texts.mapInArrow(run, schema))
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no test item stands, with all their columns."""
+    out = docs
+    for block in _blocks(benchmark, item_col, text_col):
+        out = out.where(_free_of(block)(text_of(text_col).cast("binary")))
+    return out
+
+
+def _free_of(block):
+    @F.pandas_udf("boolean")
+    def free(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(block)
+        for texts in parts:
+            yield pd.Series([not matcher.matches(plain(t)) for t in texts], dtype=bool)
+
+    return free

@@ -82,12 +82,14 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """What the mix takes of every document.
 
     Returns one row per row of ``docs``: ``doc_id``, ``source``, ``size`` (words), ``source_size``,
     ``target`` (its source's), ``copies`` (whole passes over the source), ``part`` (words of the last
-    pass: all, none, or some for the one document at the cut) and ``taken`` = copies * size + part.
+    pass: all, none, or some for the one document at the cut), ``taken`` = copies * size + part, and the
+    columns ``keep`` of ``docs``.
     A null source is a source of its own; null and empty texts have size 0 and give nothing; rows
     with the same id share a key and stand side by side. The result depends on ids, sources and
     sizes alone. Other columns are not looked at.
@@ -98,6 +100,7 @@ def mix(
             F.col(source_col).alias("source"),
             words_in(text_col).alias("size"),
             random_key(id_col, seed).alias("key"),
+            F.struct(*keep, F.lit(0).alias("_none")).alias("kept"),
         ).withColumn("cell", F.substring("key", 1, DIGITS)),
         "sizes",
     )
@@ -130,5 +133,5 @@ def mix(
         .withColumn("copies", copies.cast("long"))
         .withColumn("part", F.greatest(F.lit(0), F.least("size", left - F.col("start"))).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", "part", "taken")
+        .select("doc_id", "source", "size", "source_size", "target", "copies", "part", "taken", *(F.col("kept")[c].alias(c) for c in keep))
     )

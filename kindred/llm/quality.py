@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,3 +189,14 @@ def classify(
     return scores(measured.withColumn("held_out", held_out), model).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )
+
+
+def keep(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least 0.5, with all their columns."""
+
+    @F.pandas_udf("double")
+    def judged(texts: pd.Series) -> pd.Series:
+        stats = np.array([statistics(t) for t in texts]).reshape(-1, N_STATS)
+        return pd.Series(model.score(stats))
+
+    return docs.where(judged(text_of(text_col).cast("binary")) >= 0.5)

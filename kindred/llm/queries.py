@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards
+from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, urls
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,15 @@ def op9(spark, sf):
         said.alias("text"),
     )
     return chat.digests(chat.format_conversations(turns.unionByName(hard)))
+
+
+@query("op6_url_filter")
+def op6(spark, sf):
+    return urls.judge(table(spark, sf, "pages")).drop("log_odds")
+
+
+@query("pipeline")
+def pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)

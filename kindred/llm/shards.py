@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from kindred.llm.common import text_of
 from kindred.session import through_table
 
+RESULTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 ENDS = 16384  # group ends fetched in a round, however large the table
 SALTS = 64  # parts of a group when its rows are numbered
 DIGITS = 3
@@ -138,7 +139,7 @@ def shard(
 ) -> DataFrame:
     """Adds a shard to every row; equal texts share one.
 
-    Returns the columns ``keep`` of ``docs`` and ``size`` (UTF-8 bytes of the text plus 1; a null text
+    Returns the columns ``keep`` of ``docs`` (with ``_`` added to a name that a result has) and ``size`` (UTF-8 bytes of the text plus 1; a null text
     has none and stands with the empty ones), ``text_crc32``, ``law`` (always ``bytes``), ``shard``,
     ``slot`` (position in the shard, from 0 without gaps) and ``grown_shard`` (null under this law).
     No shard exceeds the smallest capacity that a contiguous cut of the ordered groups allows.
@@ -147,7 +148,7 @@ def shard(
     """
     text = text_of(text_col)
     rows = docs.select(
-        F.struct(*keep).alias("kept"),
+        F.struct(*(F.col(c).alias(c + "_" * (c in RESULTS)) for c in keep)).alias("kept"),
         F.col(id_col).alias("id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
