@@ -33,6 +33,7 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{12,}", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+# The bounded scheme keeps long unbroken texts linear.
 WEAK = (
     (
         "user",
@@ -41,7 +42,7 @@ WEAK = (
         1,
     ),
     ("random", r"[A-Za-z0-9+/_-]{20,}", 0, 20),
-    ("endpoint", r"[A-Za-z][A-Za-z0-9+.-]*://[A-Za-z0-9._:@-]+", 0, 1),
+    ("endpoint", r"[A-Za-z][A-Za-z0-9+.-]{0,19}://[A-Za-z0-9._:@-]+", 0, 1),
 )
 KINDS = BASE + WEAK
 # A random string has digits and letters of both cases.
