@@ -2,8 +2,8 @@
 
 A template renders the messages of a conversation and marks what a model is to learn. Marker lines
 start with ``###`` and a turn ends with ``</turn>``; the filter ``escape`` writes a backslash before
-every backslash, ``#`` and ``<`` of a text, so that no text can contain a marker, and reading the
-output back gives the texts again.
+every backslash, ``#`` and ``<`` of a text (``escape_role`` also before a colon), so that no text can
+contain a marker, and reading the output back gives the texts again.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from kindred.llm.template import compile_template
 
 CHAT = (
     "{% for m in messages %}"
-    "### {{ m.role | escape }}: "
+    "### {{ m.role | escape_role }}: "
     "{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}"
     "{% else %}{{ m.text | escape }}{% endif %}"
     "</turn>\n"
@@ -31,6 +31,13 @@ def escape(text: str) -> str:
     return re.sub(r"[\\#<]", r"\\\g<0>", text)
 
 
+def escape_role(role: str) -> str:
+    return escape(role).replace(":", r"\:")
+
+
+FILTERS = {"escape": escape, "escape_role": escape_role}
+
+
 def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
@@ -75,7 +82,7 @@ def format_conversations(
     )
 
     def run(batches):
-        render = compile_template(template, {"escape": escape})
+        render = compile_template(template, FILTERS)
         done, now, messages = [], None, []
 
         def close():

@@ -173,7 +173,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length('### : </turn>') + 1 + length(regexp_replace(role || text, '[\\#<]', '..', 'g')))::BIGINT AS formatted_chars
+  sum(length('### : </turn>') + 1 + length(regexp_replace(role, '[\\#<:]', '..', 'g')) + length(regexp_replace(text, '[\\#<]', '..', 'g')))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """,
 )

@@ -62,7 +62,7 @@ def test_chat(spark):
         turns.sort()
         loss = "".join(t[3] for t in turns if t[2] == "assistant")
         whole = "".join(f"{t[2]}\n{t[3]}\n" for t in turns)
-        size = sum(len(f"### {chat.escape(t[2])}: {chat.escape(t[3])}</turn>\n") for t in turns)
+        size = sum(len(f"### {chat.escape_role(t[2])}: {chat.escape(t[3])}</turn>\n") for t in turns)
         assert tuple(got[conv])[1:] == (len(turns), sha(whole), len(loss), sha(loss), size)
     assert chat.digests(chat.format_conversations(frame.limit(0))).count() == 0
 
