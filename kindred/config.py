@@ -35,12 +35,8 @@ class Config:
     word2vec_partitions: int | None = None
     pca_components: int = 100
     members_per_cluster: int = 20
-    # Clusters fitted directly. Above this, large cells are split again.
-    max_direct_clusters: int = 1000
-    # Rows of one cell that one task may cluster on its own.
-    max_cell_rows: int = 20_000
     kmeans_iterations: int = 200
-    kmeans_inits: int = 1
+    kmeans_inits: int = 30
     neighbours: int = 20
     min_frequency: int = 2
     seed: int = 42

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from kindred.functions.scalars import (
     message_compat,
     prefix_before_dash,
 )
+from kindred.session import through_table
 
 # Verb endings and what replaces them, in order of preference.
 VERB_ENDINGS = (
@@ -44,58 +46,55 @@ def _shortened(word: Column) -> list[Column]:
     ]
 
 
-def _numbered(forms: Column, number: int) -> Column:
-    return F.transform(
-        forms,
-        lambda w, i: F.struct(
-            F.lit(number).alias("round"), i.alias("position"), w.alias("form")
-        ),
-    )
-
-
-def lemma_table(
-    tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame, rounds: int = 3
-) -> DataFrame:
+def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame) -> DataFrame:
     """(token, lemma) for the distinct tokens whose lemma differs from the token.
 
     A listed exception wins. Otherwise the endings are replaced; a candidate counts when
     the lexicon has it, and the shortest counts first. The token itself is a candidate, so
-    a verb in its base form keeps it. When no candidate of a round is known, the next
-    round shortens the candidates again. The work grows with the vocabulary, not with
+    a verb in its base form keeps it. Where no candidate of a round is known, the next
+    round shortens the candidates again, until a form is known or none is left: forms lose
+    a letter each time, so the rounds end. The work grows with the vocabulary, not with
     the text.
     """
     words = tokens.select("token").distinct()
     known = lexicon.select(F.col("token").alias("form")).distinct()
 
-    by_exception = (
-        words.join(exceptions.select("token", F.col("lemma").alias("form")), "token")
-        .unionByName(
-            words.join(exceptions.select("token").distinct(), "token").select(
-                "token", F.col("token").alias("form")
-            )
+    def best(candidates: DataFrame) -> DataFrame:
+        return (
+            candidates.join(known, "form", "left_semi")
+            .groupBy("token")
+            .agg(F.min_by("form", F.struct(F.length("form"), "position", "form")).alias("lemma"))
+        )
+
+    listed = exceptions.select("token").distinct()
+    found = [
+        best(
+            words.join(exceptions.select("token", F.col("lemma").alias("form")), "token")
+            .unionByName(words.join(listed, "token").select("token", F.col("token").alias("form")))
+            .withColumn("position", F.lit(0))
         )
-        .select("token", F.lit(0).alias("round"), F.lit(0).alias("position"), "form")
+    ]
+    level = words.join(listed, "token", "left_anti").withColumn("forms", F.array("token"))
+    shorter = F.filter(
+        F.flatten(F.transform("forms", lambda w: F.array(*_shortened(w)))),
+        lambda w: w.isNotNull() & (w != ""),
     )
-    level = F.array("token")
-    rest = words.join(exceptions.select("token").distinct(), "token", "left_anti")
-    rounds_of_forms = []
-    for number in range(1, rounds + 1):
-        level = F.filter(
-            F.flatten(F.transform(level, lambda w: F.array(*_shortened(w)))),
-            lambda w: w.isNotNull() & (w != ""),
+    while True:
+        level = level.withColumn("forms", shorter)
+        # The token itself is a candidate of the first round.
+        own = F.array("token") if len(found) == 1 else F.array().cast("array<string>")
+        level = through_table(
+            level.withColumn("candidates", F.concat(own, "forms")).where(F.size("candidates") > 0),
+            "forms",
         )
-        forms = F.concat(F.array("token"), level) if number == 1 else level
-        rounds_of_forms.append(_numbered(forms, number))
-    candidates = rest.select(
-        "token", F.inline(F.flatten(F.array(*rounds_of_forms)))
-    ).unionByName(by_exception)
-    accepted = candidates.join(known, "form", "left_semi")
-    best = accepted.groupBy("token").agg(
-        F.min_by("form", F.struct("round", F.length("form"), "position", "form")).alias(
-            "lemma"
+        if level.isEmpty():
+            break
+        accepted = through_table(
+            best(level.select("token", F.posexplode("candidates").alias("position", "form"))), "lemmas"
         )
-    )
-    return best.where("lemma <> token")
+        found.append(accepted)
+        level = level.join(accepted, "token", "left_anti").select("token", "forms")
+    return reduce(DataFrame.unionByName, found).where("lemma <> token")
 
 
 def lemmatize(
@@ -104,7 +103,6 @@ def lemmatize(
     exceptions: DataFrame,
     id_col: str = "record_id",
     tokens_col: str = "tokens",
-    rounds: int = 3,
 ) -> DataFrame:
     """Replaces each token by its lemma; order and repeats stay.
 
@@ -113,42 +111,85 @@ def lemmatize(
     record. Hot tokens that do not change never leave their task when Spark broadcasts
     the lemma table, which it does when its measured size allows.
     """
-    exploded = records.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
-    lemmas = lemma_table(exploded, lexicon, exceptions, rounds)
+    lemmas = lemma_table(records.select(F.explode(tokens_col).alias("token")), lexicon, exceptions)
+    return replace_tokens(records, lemmas, id_col, [tokens_col])
+
+
+def replace_tokens(
+    records: DataFrame, lemmas: DataFrame, id_col: str, token_cols: Sequence[str]
+) -> DataFrame:
+    """Replaces the tokens that a table (token, lemma) has."""
+    all_tokens = F.array_distinct(F.flatten(F.array(*token_cols)))
     changes = (
-        exploded.join(lemmas, "token")
+        records.select(id_col, F.explode(all_tokens).alias("token"))
+        .join(lemmas, "token")
         .groupBy(id_col)
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
     )
     return (
         records.join(changes, id_col, "left")
-        .withColumn(
-            tokens_col,
-            F.when(
-                F.col("_lemmas").isNotNull(),
-                F.transform(
-                    tokens_col, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t)
-                ),
-            ).otherwise(F.col(tokens_col)),
+        .withColumns(
+            {
+                c: F.when(
+                    F.col("_lemmas").isNotNull(),
+                    F.transform(c, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t)),
+                ).otherwise(F.col(c))
+                for c in token_cols
+            }
         )
         .drop("_lemmas")
     )
 
 
 def clean_fields(
-    records: DataFrame, fields: Sequence[str] = TEXT_FIELDS, **options
+    records: DataFrame,
+    fields: Sequence[str] = TEXT_FIELDS,
+    lexicon: DataFrame | None = None,
+    exceptions: DataFrame | None = None,
+    **options,
 ) -> DataFrame:
-    """Adds ``<field>_clean`` for every text field; nulls read ``Missing`` and vanish."""
-    return records.withColumns(
-        {
-            f"{f}_clean": tx.clean_text(F.coalesce(F.col(f), F.lit("Missing")), **options)
-            for f in fields
-        }
+    """Adds ``<field>_clean`` for every text field; nulls read ``Missing`` and vanish.
+
+    With a lexicon and exceptions the tokens are lemmatized before they are joined.
+    """
+    tokens = field_tokens(records, fields, lexicon, exceptions, **options)
+    joined = [tx.join_tokens(F.col(f)).alias(f"{f}_clean") for f in fields]
+    return records.join(tokens.select("record_id", *joined), "record_id")
+
+
+def field_tokens(
+    records: DataFrame,
+    fields: Sequence[str] = TEXT_FIELDS,
+    lexicon: DataFrame | None = None,
+    exceptions: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """(record_id, one token column per field): lemmas in one pass over all fields."""
+    fields = list(fields)
+    tokens = records.select(
+        "record_id",
+        *[tx.clean_tokens(F.coalesce(F.col(f), F.lit("Missing")), **options).alias(f) for f in fields],
     )
+    if lexicon is None:
+        return tokens
+    stored = through_table(tokens, "field-tokens")
+    lemmas = lemma_table(
+        stored.select(F.explode(F.flatten(F.array(*fields))).alias("token")), lexicon, exceptions
+    )
+    return replace_tokens(stored, lemmas, "record_id", fields)
 
 
-def clean_text_table(records: DataFrame, compat: bool = False, **options) -> DataFrame:
-    """(record_id, message, tokens, text): the text side of the clean table."""
+def clean_text_table(
+    records: DataFrame,
+    compat: bool = False,
+    lexicon: DataFrame | None = None,
+    exceptions: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """(record_id, message, tokens, text): the text side of the clean table.
+
+    With a lexicon and exceptions the tokens are lemmatized.
+    """
     joined = (
         message_compat(["record_id", *TEXT_FIELDS, "duplicate_of"])
         if compat
@@ -156,6 +197,8 @@ def clean_text_table(records: DataFrame, compat: bool = False, **options) -> Dat
     )
     with_message = records.select("record_id", joined.alias("message"))
     with_tokens = with_message.withColumn("tokens", tx.clean_tokens(F.col("message"), **options))
+    if lexicon is not None:
+        with_tokens = lemmatize(through_table(with_tokens, "tokens"), lexicon, exceptions)
     return with_tokens.withColumn("text", tx.join_tokens(F.col("tokens")))
 
 

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.config import Config
-from kindred.functions.vectors import euclidean, squared_euclidean
-from kindred.operators.blocks import BLOCK_ROWS, block_join, squared_distances
+from kindred.functions.vectors import squared_euclidean
+from kindred.operators.blocks import BLOCK_ROWS, block_join, nearest_rows, squared_distances
+from kindred.session import through_table
 
 
 def number_of_clusters(n: Column, members: int = 20) -> Column:
@@ -32,27 +33,35 @@ def centroid_table(records: DataFrame) -> DataFrame:
 
 
 def nearest_centroid(
-    records: DataFrame, centroids: DataFrame, max_values: int = 2_000_000
+    records: DataFrame, centroids: DataFrame, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """(record_id, cluster_id, distance): lowest id on ties.
 
-    The centroids are read once as a value and checked against ``max_values`` numbers;
-    above that, ``nearest`` with k = 1 over a cell table does the same as a join.
+    Blocks of records meet blocks of centroids; a task hands on the nearest centroid of
+    its block for every record.
     """
-    values = centroids.agg(F.sum(F.size("centroid"))).first()[0] or 0
-    if values > max_values:
-        raise ValueError(f"{values} centroid values exceed {max_values}; use neighbors.nearest")
-    table = centroids.agg(F.collect_list(F.struct("cluster_id", "centroid"))).scalar()
-    best = F.array_min(
-        F.transform(
-            "_table",
-            lambda c: F.struct(
-                F.round(euclidean(c.centroid, F.col("vec")), 9).alias("distance"),
-                c.cluster_id.alias("cluster_id"),
-            ),
+    types = dict(records.dtypes) | dict(centroids.dtypes)
+
+    def best(a: pa.Table, am: np.ndarray, b: pa.Table, bm: np.ndarray) -> pa.Table:
+        order = np.argsort(np.argsort(b["cluster_id"].to_numpy(), kind="stable"))
+        i, j, distance = nearest_rows(am, bm, order, 1)
+        return pa.table(
+            {
+                "record_id": a["record_id"].take(pa.array(i)),
+                "cluster_id": b["cluster_id"].take(pa.array(j)),
+                "distance": pa.array(distance),
+            }
         )
+
+    found = block_join(
+        records.select(F.lit(0).alias("cell"), "vec", "record_id"),
+        centroids.select(F.lit(0).alias("cell"), F.col("centroid").alias("vec"), "cluster_id"),
+        best,
+        f"record_id {types['record_id']}, cluster_id {types['cluster_id']}, distance DOUBLE",
+        block_rows,
     )
-    return records.withColumn("_table", table).select("record_id", best.alias("_b")).select(
+    least = F.min(F.struct("distance", "cluster_id")).alias("_b")
+    return found.groupBy("record_id").agg(least).select(
         "record_id", "_b.cluster_id", "_b.distance"
     )
 
@@ -150,91 +159,136 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
     return totals.select(ratio.alias("calinski_harabasz"))
 
 
-def _lloyd(points: np.ndarray, k: int, iterations: int, seed: int) -> np.ndarray:
-    """Labels of a small k-means: k-means++ start, then Lloyd steps."""
-    rng = np.random.default_rng(seed)
-    centers = points[[rng.integers(len(points))]]
-    nearest = squared_distances(points, centers)[:, 0]
-    while len(centers) < k and nearest.sum() > 0:
-        pick = points[[rng.choice(len(points), p=nearest / nearest.sum())]]
-        centers = np.vstack([centers, pick])
-        nearest = np.minimum(nearest, squared_distances(points, pick)[:, 0])
-    labels = squared_distances(points, centers).argmin(1)
-    for _ in range(iterations):
-        sums = np.zeros_like(centers)
-        np.add.at(sums, labels, points)
-        counts = np.bincount(labels, minlength=len(centers))
-        centers = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
-        moved = squared_distances(points, centers).argmin(1)
-        if (moved == labels).all():
-            break
-        labels = moved
-    return labels
+FAN = 8  # parts that a cell is split into at once
 
 
-def _fit_direct(records: DataFrame, k: int, config: Config) -> DataFrame:
-    """(record_id, vec, cell): Spark k-means, best of several starts."""
-    vectors = records.select("record_id", "vec", array_to_vector(F.col("vec")).alias("features"))
-    best = None
-    for start in range(config.kmeans_inits):
-        model = KMeans(
-            k=k, maxIter=config.kmeans_iterations, seed=config.seed + start, predictionCol="cell"
-        ).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best.transform(vectors).select("record_id", "vec", "cell")
+def _parts(centers: DataFrame, points: DataFrame) -> DataFrame:
+    """The nearest centre of the own cell for every point, lowest number on ties."""
+    best = F.array_min(
+        F.transform(
+            "centers",
+            lambda c: F.struct(
+                squared_euclidean(c.center, F.col("vec")).alias("d"), c.part.alias("part")
+            ),
+        )
+    )
+    return points.join(centers, "cell").select(
+        *points.columns, "start", best.alias("_b")
+    ).select(*points.columns, "start", "_b.part", (F.col("_b.d") * F.col("weight")).alias("cost"))
+
+
+def _moved(centers: DataFrame, points: DataFrame) -> DataFrame:
+    """One Lloyd step: (cell, start, centers, cost) with the cost before the move."""
+    means = (
+        _parts(centers, points)
+        .groupBy("cell", "start", "part")
+        .agg(
+            vector_to_array(Summarizer.mean(array_to_vector("vec"), F.col("weight"))).alias("center"),
+            F.sum("cost").alias("cost"),
+        )
+    )
+    return means.groupBy("cell", "start").agg(
+        F.sort_array(F.collect_list(F.struct("part", "center"))).alias("centers"),
+        F.sum("cost").alias("cost"),
+    )
+
+
+def _best_centers(points: DataFrame, wanted: DataFrame, config: Config) -> DataFrame:
+    """(cell, start, centers) of the best of several starts in every cell.
+
+    ``wanted``: (cell, k). A start takes k points of the cell in a hash-random order. Steps go on
+    until no cost falls any more, or ``kmeans_iterations`` are done.
+    """
+    starts = F.explode(F.sequence(F.lit(1), F.lit(config.kmeans_inits)))
+    order = F.xxhash64("pid", "start", F.lit(config.seed))
+    place = F.row_number().over(Window.partitionBy("cell", "start").orderBy(order, "pid"))
+    firsts = (
+        points.select("cell", "pid", "vec", starts.alias("start"))
+        .withColumn("part", place)
+        .where(F.col("part") <= FAN)
+        .join(wanted, "cell")
+        .where("part <= k")
+        .groupBy("cell", "start")
+        .agg(F.sort_array(F.collect_list(F.struct("part", F.col("vec").alias("center")))).alias("centers"))
+        .withColumn("cost", F.lit(float("inf")))
+    )
+    now, done, steps = through_table(firsts, "centers"), [], 0
+    while steps < config.kmeans_iterations:
+        # Two steps at a time: fewer passes through tables.
+        middle = _moved(now.drop("cost"), points)
+        after = _moved(middle.drop("cost"), points).join(
+            middle.select("cell", "start", F.col("cost").alias("before")), ["cell", "start"]
+        )
+        after = through_table(after, "centers")
+        steps += 2
+        still = F.col("cost") >= F.col("before") * (1 - 1e-9)
+        done.append(after.where(still).select("cell", "start", "centers", "cost"))
+        now = after.where(~still).select("cell", "start", "centers", "cost")
+        if now.isEmpty():
+            break
+    ended = reduce(DataFrame.unionByName, [*done, now])
+    return ended.groupBy("cell").agg(
+        F.min_by(F.struct("start", "centers"), F.struct("cost", "start")).alias("best")
+    ).select("cell", "best.start", "best.centers")
 
 
 def fit_clusters(records: DataFrame, config: Config) -> DataFrame:
     """(record_id, vec, cell, cluster_id): about ``members_per_cluster`` records each.
 
-    Up to ``max_direct_clusters`` clusters are fitted by Spark's k-means and each is a
-    cell. Beyond, the cost n * k * d would grow with the square of n: coarse cells are
-    fitted first, and each is clustered again in chunks of at most ``max_cell_rows`` rows,
-    so that no task gets a whole large cell. ``cluster_id`` is unique over cells.
+    Equal vectors are folded into one weighted point first, so they always share a cluster. Then
+    all cells are split by k-means at once, level by level, into up to ``FAN`` parts each, until a
+    cell has less than twice ``members_per_cluster`` records or one point. Centres are rows of a
+    table, the same steps serve any number of records, and nothing but geometry parts two records.
+    ``cell`` is the first ancestor with at most the square root of all records times
+    ``members_per_cluster``, or a thousandth of all records if that is more: at most 8000 cells.
     """
-    n = records.count()
-    k = min(max(n // config.members_per_cluster, 2), n)
-    if k <= config.max_direct_clusters:
-        return _fit_direct(records, k, config).withColumn(
-            "cluster_id", F.col("cell").cast("long")
+    members = config.members_per_cluster
+    folded = records.groupBy("vec").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    points = through_table(
+        folded.select(F.monotonically_increasing_id().alias("pid"), "vec", "weight"), "points"
+    )
+    total = points.agg(F.sum("weight")).first()[0] or 0
+    coarse = max(math.sqrt(total * members), total / 1000)
+    level = points.withColumns({"cell": F.lit(0).cast("long"), "outer": F.lit(None).cast("long")})
+    final = []
+    while True:
+        sizes = level.groupBy("cell").agg(
+            F.sum("weight").alias("n"), F.count(F.lit(1)).alias("points"), F.min("pid").alias("name")
         )
-    cells = _fit_direct(
-        records, min(config.max_direct_clusters, max(2, math.isqrt(k))), config
-    )
-    return split_cells(cells, config)
-
-
-def split_cells(cells: DataFrame, config: Config) -> DataFrame:
-    """(record_id, vec, cell, cluster_id) from (record_id, vec, cell)."""
-    sizes = cells.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / config.max_cell_rows).cast("int").alias("_chunks")
-    )
-    id_type = dict(cells.dtypes)["record_id"]
-    members, seed = config.members_per_cluster, config.seed
-
-    def cluster(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack(part["vec"].to_list())
-        k = max(1, round(len(points) / members))
-        order = np.argsort(part["record_id"].to_numpy(), kind="stable")
-        labels = np.empty(len(points), np.int64)
-        labels[order] = _lloyd(points[order], k, 20, seed)
-        return part.assign(label=labels)
-
-    labelled = (
-        cells.join(sizes, "cell")
-        .withColumn("_chunk", F.pmod(F.xxhash64("record_id"), F.col("_chunks")).cast("int"))
-        .select("record_id", "vec", "cell", "_chunk")
-        .groupBy("cell", "_chunk")
-        .applyInPandas(
-            cluster,
-            f"record_id {id_type}, vec ARRAY<DOUBLE>, cell INT, _chunk INT, label LONG",
+        parts = F.round(F.col("n") / members).cast("int")
+        k = F.least(F.lit(FAN), parts, F.col("points").cast("int"))
+        named = level.join(sizes.withColumn("k", k), "cell").withColumn(
+            "outer", F.coalesce("outer", F.when(F.col("n") <= coarse, F.col("name")))
         )
+        named = through_table(named, "level")
+        final.append(
+            named.where("k < 2").select("pid", F.coalesce("outer", "name").alias("cell"), F.col("name").alias("cluster_id"))
+        )
+        open_ = named.where("k >= 2")
+        if open_.isEmpty():
+            break
+        wanted = open_.select("cell", "k").distinct()
+        columns = ["pid", "vec", "weight", "outer"]
+        best = through_table(
+            _best_centers(open_.select("cell", "pid", "vec", "weight"), wanted, config), "best"
+        )
+        split = through_table(_parts(best, open_.select("cell", *columns)), "split")
+        heads = split.groupBy("cell", "part").agg(F.min("pid").alias("head"))
+        several = heads.groupBy("cell").agg(F.count(F.lit(1)).alias("parts"))
+        split = split.join(heads, ["cell", "part"]).join(several, "cell")
+        # Points too close to be told apart stay together.
+        alone = split.where("parts = 1")
+        final.append(
+            alone.select("pid", F.coalesce("outer", "head").alias("cell"), F.col("head").alias("cluster_id"))
+        )
+        level = through_table(
+            split.where("parts > 1").select(*columns, F.col("head").alias("cell")), "level"
+        )
+    placed = points.join(reduce(DataFrame.unionByName, final), "pid")
+    key = F.xxhash64("vec")
+    return (
+        records.withColumn("_key", key)
+        .join(placed.select(key.alias("_key"), F.col("vec").alias("_vec"), "cell", "cluster_id"), "_key")
+        .where(F.col("vec") == F.col("_vec"))
+        .select("record_id", "vec", "cell", "cluster_id")
     )
-    # 2^20 labels per chunk and 2^20 chunks per cell keep the id unique.
-    cluster_id = (
-        F.shiftleft(F.col("cell").cast("long"), 40)
-        + F.shiftleft(F.col("_chunk").cast("long"), 20)
-        + F.col("label")
-    )
-    return labelled.select("record_id", "vec", "cell", cluster_id.alias("cluster_id"))

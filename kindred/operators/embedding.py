@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -15,12 +12,6 @@ from pyspark.sql import functions as F
 
 from kindred.config import Config
 
-# Numbers in a word table that may be sent to every task: 400 MB.
-MAX_LOCAL_VALUES = 50_000_000
-# Numbers gathered at once inside a task.
-_GATHERED_VALUES = 4_000_000
-
-
 def fit_word_vectors(records: DataFrame, config: Config, tokens_col: str = "tokens") -> DataFrame:
     """(word, vector ARRAY<DOUBLE>) from Spark's skip-gram Word2Vec."""
     partitions = config.word2vec_partitions or records.sparkSession.sparkContext.defaultParallelism
@@ -43,37 +34,42 @@ def embed(
     size: int,
     keys: Sequence[str] = ("record_id",),
     tokens_col: str = "tokens",
-    max_local_values: int = MAX_LOCAL_VALUES,
 ) -> DataFrame:
     """(keys, vector): mean of the vectors of the known words; zeros when none is known.
 
-    A word table of at most ``max_local_values`` numbers is sent to the tasks and the
-    records are not shuffled. A larger one is joined.
+    The words of a record are counted first, so a repeated word is joined once, and the
+    mean is a weighted aggregate with partial sums. Spark sends the word table to the
+    tasks when its measured size allows, and shuffles otherwise; the plan is the same.
     """
-    picked = records.select(*keys, tokens_col)
-    if word_vectors.count() * size <= max_local_values:
-        embedded = _embed_in_tasks(picked, word_vectors, size, keys, [tokens_col])
-        return embedded.withColumnRenamed(tokens_col, "vector")
-    return _embed_by_join(picked, word_vectors, size, keys, tokens_col)
+    keys = list(keys)
+    vectors = word_vectors.select("word", array_to_vector("vector").alias("_v"))
+    means = (
+        records.select(*keys, F.explode(tokens_col).alias("word"))
+        .groupBy(*keys, "word")
+        .agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        .join(vectors, "word")
+        .groupBy(*keys)
+        .agg(Summarizer.mean(F.col("_v"), F.col("_n")).alias("_mean"))
+        .select(*keys, vector_to_array("_mean").alias("vector"))
+    )
+    zeros = F.array_repeat(F.lit(0.0), size)
+    return (
+        records.select(*keys)
+        .join(means, keys, "left")
+        .select(*keys, F.coalesce("vector", zeros).alias("vector"))
+    )
 
 
 def embed_fields(
-    records: DataFrame,
-    word_vectors: DataFrame,
-    size: int,
-    fields: Sequence[str],
-    max_local_values: int = MAX_LOCAL_VALUES,
+    records: DataFrame, word_vectors: DataFrame, size: int, fields: Sequence[str]
 ) -> DataFrame:
     """(record_id, one vector column per field) from one token column per field.
 
-    All fields are embedded in one pass, in the same two ways as ``embed``.
+    All fields are embedded in one pass.
     """
     fields = list(fields)
-    if word_vectors.count() * size <= max_local_values:
-        picked = records.select("record_id", *fields)
-        return _embed_in_tasks(picked, word_vectors, size, ["record_id"], fields)
     stacked = stack(records, fields, "tokens")
-    long = _embed_by_join(stacked, word_vectors, size, ["record_id", "field"], "tokens")
+    long = embed(stacked, word_vectors, size, ["record_id", "field"])
     return (
         long.groupBy("record_id")
         .pivot("field", fields)
@@ -87,79 +83,6 @@ def stack(wide: DataFrame, fields: Sequence[str], value: str) -> DataFrame:
     return wide.select("record_id", F.inline(F.array(*pairs)))
 
 
-def _means(tokens: pa.ListArray, words: pa.Array, matrix: np.ndarray) -> pa.ListArray:
-    """Mean vector of the known words of each list."""
-    rows = len(tokens)
-    found = pc.fill_null(pc.index_in(tokens.flatten(), value_set=words), -1).to_numpy()
-    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
-    row = np.repeat(np.arange(rows), lengths)
-    row, found = row[found >= 0], found[found >= 0]
-    sums = np.zeros((rows, matrix.shape[1]))
-    step = max(1, _GATHERED_VALUES // matrix.shape[1])
-    for start in range(0, len(found), step):
-        part = row[start : start + step]
-        first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        sums[part[first]] += np.add.reduceat(matrix[found[start : start + step]], first)
-    counts = np.bincount(row, minlength=rows)
-    means = sums / np.maximum(counts, 1)[:, None]
-    offsets = np.arange(rows + 1, dtype=np.int32) * matrix.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(means.ravel()))
-
-
-def _embed_in_tasks(
-    records: DataFrame,
-    word_vectors: DataFrame,
-    size: int,
-    keys: Sequence[str],
-    token_cols: Sequence[str],
-) -> DataFrame:
-    """Replaces each token column by its mean vector. The caller has checked the size."""
-    table = word_vectors.select("word", "vector").toArrow().combine_chunks()
-    words = table["word"].combine_chunks()
-    flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    shared = records.sparkSession.sparkContext.broadcast((words, flat.reshape(-1, size)))
-    keys, token_cols = list(keys), list(token_cols)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, matrix = shared.value
-        for batch in batches:
-            vectors = [_means(batch.column(c), known, matrix) for c in token_cols]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys] + vectors, names=keys + token_cols
-            )
-
-    types = dict(records.dtypes)
-    schema = ", ".join(
-        [f"`{k}` {types[k]}" for k in keys] + [f"`{c}` ARRAY<DOUBLE>" for c in token_cols]
-    )
-    return records.select(*keys, *token_cols).mapInArrow(run, schema)
-
-
-def _embed_by_join(
-    records: DataFrame,
-    word_vectors: DataFrame,
-    size: int,
-    keys: Sequence[str],
-    tokens_col: str,
-) -> DataFrame:
-    """Tokens joined to the word table; the mean is an aggregate with partial sums."""
-    keys = list(keys)
-    vectors = word_vectors.select("word", array_to_vector("vector").alias("_v"))
-    means = (
-        records.select(*keys, F.explode(tokens_col).alias("word"))
-        .join(vectors, "word")
-        .groupBy(*keys)
-        .agg(Summarizer.mean(F.col("_v")).alias("_mean"))
-        .select(*keys, vector_to_array("_mean").alias("vector"))
-    )
-    zeros = F.array_repeat(F.lit(0.0), size)
-    return (
-        records.select(*keys)
-        .join(means, keys, "left")
-        .select(*keys, F.coalesce("vector", zeros).alias("vector"))
-    )
-
-
 def concat_features(text_vectors: DataFrame, category_vectors: DataFrame) -> DataFrame:
     """(record_id, features): text part first, category part second, joined on the key."""
     return text_vectors.join(category_vectors, "record_id").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.config import EXPLAIN_FEATURES, TEXT_FIELDS
@@ -188,11 +189,12 @@ def query_metadata(spark, sf):
 
 _NESTED = with_ctes(
     "flat",
-    """SELECT query_id AS bug_id, 0 AS page, string_agg(related_id || ':' || printf('%.9f', distance) || ':'
+    """SELECT query_id AS bug_id, page, string_agg(related_id || ':' || printf('%.9f', distance) || ':'
            || key_feature || ':' || array_to_string(key_word, ',') || ':' || array_to_string(key_phrase, ';')
            || ':' || query_severity || ':' || query_manager || ':' || query_engineer || ':' || description,
            '|' ORDER BY distance, related_id) AS list_of_rel_bugs
-    FROM flat GROUP BY query_id""",
+    FROM (SELECT *, ((row_number() OVER (PARTITION BY query_id ORDER BY distance, related_id) - 1)
+            // 10000)::INTEGER AS page FROM flat) GROUP BY query_id, page""",
 )
 
 
@@ -282,14 +284,15 @@ def _related_documents(spark, sf):
     )
 
 
-def _nest(rows, name, page_rows=10_000):
-    """Items listed per bug_id, in documents of about ``page_rows`` items."""
-    pages = rows.groupBy("bug_id").agg(
-        F.ceil(F.count(F.lit(1)) / page_rows).cast("int").alias("_pages")
-    )
+PAGE_ROWS = 10_000
+
+
+def _nest(rows, name):
+    """Items listed per bug_id, every ``PAGE_ROWS`` in their order a document."""
+    rank = F.row_number().over(Window.partitionBy("bug_id").orderBy("item"))
     return (
-        rows.join(pages, "bug_id")
-        .groupBy("bug_id", F.pmod(F.xxhash64("item"), F.col("_pages")).alias("_page"))
+        rows.withColumn("_page", F.floor((rank - 1) / PAGE_ROWS))
+        .groupBy("bug_id", "_page")
         .agg(F.array_sort(F.collect_list("item")).alias(name))
         .drop("_page")
     )
@@ -381,7 +384,9 @@ def json_scan_repro(spark, sf):
     "json_scan_log",
     """SELECT 'U' || CAST(user_id AS VARCHAR) AS bug_id, count(*) AS n_logs,
            string_agg(n || ':' || props || ':/' || event_type, '|' ORDER BY n, props) AS items
-    FROM (SELECT *, event_type || '-' || CAST(event_id AS VARCHAR) AS n FROM events) GROUP BY user_id""",
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n, props) AS r
+        FROM (SELECT *, event_type || '-' || CAST(event_id AS VARCHAR) AS n FROM events))
+    GROUP BY user_id, (r - 1) // 10000""",
 )
 def json_scan_log(spark, sf):
     docs = _round_trip(spark, _log_documents(spark, sf), "log")
@@ -399,7 +404,8 @@ def json_scan_log(spark, sf):
     "json_scan_users",
     """SELECT 'N' || CAST(c_nationkey AS VARCHAR) AS bug_id,
            string_agg(lower(replace(c_name, '#', '.')) || '@example.com', '|' ORDER BY c_name) AS items
-    FROM customer GROUP BY c_nationkey""",
+    FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY lower(c_name)) AS r FROM customer)
+    GROUP BY c_nationkey, (r - 1) // 10000""",
 )
 def json_scan_users(spark, sf):
     docs = _round_trip(spark, _user_documents(spark, sf), "users")

@@ -168,7 +168,7 @@ def filter_eq(spark, sf):
     "known_id_gate",
     f"""
     WITH q AS (SELECT {RID} AS record_id FROM labels
-               UNION ALL SELECT 'B' || lpad(CAST(item_id AS VARCHAR), 7, '0') FROM benchmark)
+               UNION ALL SELECT printf('B%07d', item_id) FROM benchmark)
     SELECT record_id, record_id IN (SELECT {RID} FROM documents) AS known FROM q""",
 )
 def known_id_gate(spark, sf):

@@ -115,7 +115,7 @@ def light_tokens(x: str) -> str:
     return stopwords(tokenize(lower_trim(x)), ENGLISH_STOP_WORDS)
 
 
-RID = "'R' || lpad(CAST(doc_id AS VARCHAR), 7, '0')"
+RID = "printf('R%07d', doc_id)"
 _LINES = "string_split(d.text, chr(10))"
 _FIELD_TOKENS = ", ".join(clean_tokens(f"coalesce({f}, 'Missing')") + f" AS {f}" for f in TEXT_FIELDS)
 
@@ -123,7 +123,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "records": (
         (),
         f"""
-        SELECT 'R' || lpad(CAST(d.doc_id AS VARCHAR), 7, '0') AS record_id,
+        SELECT printf('R%07d', d.doc_id) AS record_id,
                d.source || '-' || d.lang AS component, d.source AS project, d.lang AS product,
                'm' || CAST(d.doc_id % 17 AS VARCHAR) AS manager,
                coalesce(CAST(l.quality AS VARCHAR), 'none') AS severity,
@@ -131,8 +131,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                {_LINES}[1] AS headline, {_LINES}[2] AS attribute, d.text AS description,
                {_LINES}[3] AS symptoms, {_LINES}[4] AS conditions,
                {_LINES}[5] AS workarounds, {_LINES}[6] AS release_note,
-               nullif('R' || lpad(CAST(min(d.doc_id) OVER (PARTITION BY d.text) AS VARCHAR), 7, '0'),
-                      'R' || lpad(CAST(d.doc_id AS VARCHAR), 7, '0')) AS duplicate_of,
+               nullif(printf('R%07d', min(d.doc_id) OVER (PARTITION BY d.text)),
+                      printf('R%07d', d.doc_id)) AS duplicate_of,
                'e' || CAST(d.doc_id % 23 AS VARCHAR) AS engineer
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     ),
@@ -158,12 +158,14 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                [CAST(length(token) AS DOUBLE), CAST(ascii(token) AS DOUBLE),
                 CAST(ascii(right(token, 1)) AS DOUBLE),
                 CAST(length(token) - length(replace(token, 'e', '')) AS DOUBLE)] AS vector
-        FROM vocab WHERE n > 2""",
+        FROM vocab""",
     ),
     "corpus": (
         ("tokens", "words"),
         """
-        SELECT t.record_id, t.cluster_id, coalesce(m.vec, [0.0, 0.0, 0.0, 0.0]::DOUBLE[]) AS vec
+        SELECT t.record_id,
+               t.cluster_id || '-' || CAST(CAST(substr(t.record_id, 2) AS BIGINT) // 400 AS VARCHAR) AS cluster_id,
+               coalesce(m.vec, [0.0, 0.0, 0.0, 0.0]::DOUBLE[]) AS vec
         FROM tokens t LEFT JOIN (
             SELECT record_id, [avg(vector[1]), avg(vector[2]), avg(vector[3]), avg(vector[4])] AS vec
             FROM (SELECT record_id, unnest(tokens) AS word FROM tokens) JOIN words USING (word)
@@ -426,4 +428,40 @@ def with_ctes(names: str, statement: str) -> str:
     for name in names.split():
         add(name)
     views = ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in ordered)
-    return f"WITH {views}\n{statement}"
+    return f"WITH RECURSIVE {views}\n{statement}"
+
+
+def lemmatized(base: str, key: str) -> str:
+    """CTEs after which ``lemmatized`` has ``key`` and the lemmas of ``base``'s tokens as ``tokens``.
+
+    The items of ``benchmark`` are the dictionary: their tokens the lexicon, the first two tokens
+    of each an exception. ``base`` has ``key`` and ``tokens``.
+    """
+    from kindred.operators.cleaning import VERB_ENDINGS
+
+    endings = ", ".join(f"({i}, '{e}', '{by}')" for i, (e, by) in enumerate(VERB_ENDINGS))
+    return f"""
+        endings(number, ending, instead) AS (VALUES {endings}),
+        bench AS (SELECT item_id, {clean_tokens('text')} AS tokens FROM benchmark),
+        lexicon AS (SELECT DISTINCT unnest(tokens) AS token FROM bench),
+        exceptions AS (SELECT DISTINCT tokens[1] AS token, tokens[2] AS lemma FROM bench),
+        toks AS (SELECT DISTINCT unnest(tokens) AS token FROM {base}),
+        rest AS (SELECT token FROM toks WHERE token NOT IN (SELECT token FROM exceptions WHERE token IS NOT NULL)),
+        forms AS (
+            SELECT token, token AS form, 0 AS round, 0::BIGINT AS pos FROM rest
+            UNION ALL
+            SELECT token, left(form, length(form) - length(ending)) || instead, round + 1, pos * 8 + number
+            FROM forms JOIN endings ON ends_with(form, ending)
+            WHERE length(form) - length(ending) + length(instead) > 0),
+        candidates AS (
+            SELECT token, greatest(round, 1) AS round, CASE round WHEN 0 THEN -1 ELSE pos END AS pos, form FROM forms
+            UNION ALL SELECT token, 0, 0, lemma FROM exceptions WHERE token IN (SELECT token FROM toks)
+            UNION ALL SELECT DISTINCT token, 0, 0, token FROM exceptions WHERE token IN (SELECT token FROM toks)),
+        lemmas AS (
+            SELECT token, arg_min(form, (round, length(form), pos, form)) AS lemma
+            FROM candidates WHERE form IN (SELECT token FROM lexicon) GROUP BY token),
+        exploded AS (SELECT {key}, unnest(tokens) AS token, unnest(range(len(tokens))) AS i FROM {base}),
+        lemmatized AS (
+            SELECT b.{key}, coalesce(x.tokens, []) AS tokens FROM {base} b LEFT JOIN (
+                SELECT {key}, list(coalesce(lemma, token) ORDER BY i) AS tokens
+                FROM exploded LEFT JOIN lemmas USING (token) GROUP BY {key}) x ON b.{key} = x.{key})"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kindred.config import TEXT_FIELDS
 from kindred.functions import text as tx
 from kindred.operators import cleaning, vocabulary
-from kindred.session import spread
+from kindred.session import spread, through_table
 from suite import sql as s
 from suite import views
 from suite.registry import query
@@ -53,7 +53,36 @@ _on_documents(
     lambda t: tx.join_tokens(tx.remove_stop_words(tx.tokenize(t))),
     lambda x: s.join_tokens(s.stopwords(s.tokenize(x))),
 )
-_on_documents("denoise", tx.clean_text, lambda x: s.join_tokens(s.clean_tokens(x)))
+
+
+def _dictionary(spark, sf):
+    """Lexicon and exceptions from the items of ``benchmark``."""
+    bench = views.table(spark, sf, "benchmark").select(tx.clean_tokens(F.col("text")).alias("tokens"))
+    exceptions = bench.select(F.get("tokens", 0).alias("token"), F.get("tokens", 1).alias("lemma"))
+    return {
+        "lexicon": vocabulary.vocabulary(bench).select("token"),
+        "exceptions": exceptions.distinct(),
+    }
+
+
+def _denoised(texts, key, dictionary):
+    """Clean text with lemmas of (key, text)."""
+    tokens = through_table(texts.select(key, tx.clean_tokens(F.col("text")).alias("tokens")), "tokens")
+    lemmas = cleaning.lemmatize(tokens, **dictionary, id_col=key)
+    return lemmas.select(key, tx.join_tokens(F.col("tokens")).alias("text"))
+
+
+def _denoise_sql(table, key, column):
+    return f"""WITH RECURSIVE base AS (SELECT {key}, {s.clean_tokens(column)} AS tokens FROM {table}),
+        {s.lemmatized('base', key)}
+        SELECT {key}, {s.join_tokens('tokens')} AS text FROM lemmatized"""
+
+
+@query("denoise", _denoise_sql("documents", "doc_id", "text"))
+def denoise(spark, sf):
+    documents = spread(views.table(spark, sf, "documents"), "doc_id")
+    return _denoised(documents, "doc_id", _dictionary(spark, sf))
+
 
 
 @query("strip_html", f"SELECT page_id, {s.strip_html('html')} AS text FROM pages")
@@ -71,14 +100,10 @@ def strip_html_exact(spark, sf):
     )
 
 
-@query(
-    "denoise_pages",
-    f"SELECT page_id, {s.join_tokens(s.clean_tokens('html'))} AS text FROM pages",
-)
+@query("denoise_pages", _denoise_sql("pages", "page_id", "html"))
 def denoise_pages(spark, sf):
-    return views.table(spark, sf, "pages").select(
-        "page_id", tx.clean_text(F.col("html")).alias("text")
-    )
+    pages = views.table(spark, sf, "pages").withColumnRenamed("html", "text")
+    return _denoised(pages, "page_id", _dictionary(spark, sf))
 
 
 @query(
@@ -106,14 +131,18 @@ def light_clean(spark, sf):
 @query(
     "field_clean",
     with_ctes(
-        "field_tokens",
-        "SELECT record_id, "
-        + ", ".join(f"{s.join_tokens(f)} AS {f}_clean" for f in TEXT_FIELDS)
-        + " FROM field_tokens",
+        "field_long",
+        f"""
+        , base AS (SELECT record_id || '/' || field AS key, tokens FROM field_long),
+        {s.lemmatized('base', 'key')}
+        SELECT record_id, {", ".join(
+            f"max(text) FILTER (field = '{f}') AS {f}_clean" for f in TEXT_FIELDS)}
+        FROM (SELECT string_split(key, '/')[1] AS record_id, string_split(key, '/')[2] AS field,
+                {s.join_tokens('tokens')} AS text FROM lemmatized) GROUP BY record_id""",
     ),
 )
 def field_clean(spark, sf):
-    cleaned = cleaning.clean_fields(views.records(spark, sf))
+    cleaned = cleaning.clean_fields(views.records(spark, sf), **_dictionary(spark, sf))
     return cleaned.select("record_id", *[f"{f}_clean" for f in TEXT_FIELDS])
 
 
@@ -121,12 +150,16 @@ def field_clean(spark, sf):
     "clean_tables",
     with_ctes(
         "messages records",
-        f"""SELECT m.record_id, message, {s.join_tokens(s.clean_tokens('message'))} AS text,
+        f"""
+        , base AS (SELECT record_id, {s.clean_tokens('message')} AS tokens FROM messages),
+        {s.lemmatized('base', 'record_id')}
+        SELECT m.record_id, message, {s.join_tokens('l.tokens')} AS text,
                project, product, manager, severity,
                CAST(trunc(floor((epoch_us(TIMESTAMP '{views.AS_OF}') - epoch_us(submitted_on))
                    / 86400000000.0) / 7) AS INTEGER) AS submit_age,
                string_split(component, '-')[1] AS pin
-        FROM messages m JOIN records r ON m.record_id = r.record_id""",
+        FROM messages m JOIN records r ON m.record_id = r.record_id
+        JOIN lemmatized l ON l.record_id = m.record_id""",
     ),
 )
 def clean_tables(spark, sf):
@@ -134,61 +167,23 @@ def clean_tables(spark, sf):
     records = views.records(spark, sf)
     as_of = F.lit(views.AS_OF).cast("timestamp")
     return (
-        cleaning.clean_text_table(records)
+        cleaning.clean_text_table(records, **_dictionary(spark, sf))
         .drop("tokens")
         .join(cleaning.clean_category_table(records, as_of), "record_id")
     )
 
 
-_ENDINGS = " UNION ALL ".join(
-    f"""SELECT token, round + 1 AS round, pos * 8 + {i} AS pos,
-        left(form, length(form) - {len(ending)}) || '{by}' AS form
-        FROM forms WHERE round < 3 AND ends_with(form, '{ending}')
-          AND length(form) + {len(by)} > {len(ending)}"""
-    for i, (ending, by) in enumerate(cleaning.VERB_ENDINGS)
-)
-
-
 @query(
     "lemmatize",
     with_ctes(
         "tokens",
         f"""
-        , bench AS (SELECT item_id, {s.clean_tokens('text')} AS tokens FROM benchmark),
-        lexicon AS (SELECT DISTINCT unnest(tokens) AS token FROM bench),
-        exceptions AS (SELECT DISTINCT tokens[1] AS token, tokens[2] AS lemma FROM bench),
-        toks AS (SELECT DISTINCT unnest(tokens) AS token FROM tokens),
-        rest AS (SELECT token FROM toks WHERE token NOT IN (SELECT token FROM exceptions)),
-        level1 AS ({_ENDINGS.replace('forms', '(SELECT token, token AS form, 0 AS round, 0 AS pos FROM rest)')}),
-        level2 AS ({_ENDINGS.replace('forms', 'level1')}),
-        level3 AS ({_ENDINGS.replace('forms', 'level2')}),
-        candidates AS (
-            SELECT token, 1 AS round, -1 AS pos, token AS form FROM rest
-            UNION ALL SELECT token, round, pos, form FROM level1
-            UNION ALL SELECT token, round, pos, form FROM level2
-            UNION ALL SELECT token, round, pos, form FROM level3
-            UNION ALL SELECT token, 0, 0, lemma FROM exceptions WHERE token IN (SELECT token FROM toks)
-            UNION ALL SELECT DISTINCT token, 0, 0, token FROM exceptions WHERE token IN (SELECT token FROM toks)),
-        lemmas AS (
-            SELECT token, arg_min(form, (round, length(form), pos, form)) AS lemma
-            FROM candidates WHERE form IN (SELECT token FROM lexicon) GROUP BY token),
-        exploded AS (SELECT record_id, unnest(tokens) AS token, unnest(range(len(tokens))) AS i FROM tokens)
-        SELECT t.record_id, coalesce(x.text, '') AS text FROM tokens t LEFT JOIN (
-            SELECT record_id, string_agg(coalesce(lemma, token), ' ' ORDER BY i) AS text
-            FROM exploded LEFT JOIN lemmas USING (token) GROUP BY record_id) x
-        ON t.record_id = x.record_id""",
+        , {s.lemmatized('tokens', 'record_id')}
+        SELECT record_id, array_to_string(tokens, ' ') AS text FROM lemmatized""",
     ),
 )
 def lemmatize(spark, sf):
-    """Lexicon and exceptions come from the items of ``benchmark``."""
-    bench = views.table(spark, sf, "benchmark").select(
-        tx.clean_tokens(F.col("text")).alias("tokens")
-    )
-    lexicon = vocabulary.vocabulary(bench).select("token")
-    exceptions = bench.select(
-        F.get("tokens", 0).alias("token"), F.get("tokens", 1).alias("lemma")
-    ).distinct()
     docs = views.tokens(spark, sf).select("record_id", "tokens")
-    return cleaning.lemmatize(docs, lexicon, exceptions).select(
+    return cleaning.lemmatize(docs, **_dictionary(spark, sf)).select(
         "record_id", F.array_join("tokens", " ").alias("text")
     )

@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def record_id(column: str = "doc_id") -> Column:
-    return F.concat(F.lit("R"), F.lpad(F.col(column).cast("string"), 7, "0"))
+    return F.format_string("R%07d", F.col(column))
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +75,7 @@ def new_records(spark: SparkSession, sf: str) -> DataFrame:
     item = F.col("item_id")
     lines = F.split("text", "\n")
     return table(spark, sf, "benchmark").select(
-        F.concat(F.lit("B"), F.lpad(item.cast("string"), 7, "0")).alias("record_id"),
+        F.format_string("B%07d", item).alias("record_id"),
         F.lit("new-en").alias("component"),
         F.lit("new").alias("project"),
         F.lit("en").alias("product"),
@@ -106,8 +106,8 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_vectors(token_table: DataFrame) -> DataFrame:
-    """(word, vector): a fixed vector for every word seen more than twice."""
-    words = vocabulary.frequent(vocabulary.vocabulary(token_table))
+    """(word, vector): a fixed vector for every word."""
+    words = vocabulary.vocabulary(token_table)
     token = F.col("token")
     parts = [
         F.length(token),
@@ -122,7 +122,13 @@ def word_vectors(token_table: DataFrame) -> DataFrame:
 
 
 def document_vectors(docs: DataFrame) -> DataFrame:
-    """(record_id, cluster_id, vec): mean word vector per document of a token table."""
+    """(record_id, cluster_id, vec): mean word vector per document of a token table.
+
+    Clusters have about 20 records, as fitted ones do, and their number grows with the
+    documents: a source within 400 ids.
+    """
+    bucket = F.floor(F.substring("record_id", 2, 20).cast("long") / 400).cast("string")
+    docs = docs.withColumn("cluster_id", F.concat_ws("-", "cluster_id", bucket))
     vectors = embedding.embed(
         docs, word_vectors(docs), WORD_SIZE, keys=("record_id", "cluster_id")
     )

@@ -1,4 +1,4 @@
-import dataclasses
+import collections
 
 import numpy as np
 import pytest
@@ -67,14 +67,12 @@ def test_embedding_ignores_unknown_words(spark):
     words = spark.createDataFrame(
         [("x", [1.0, 0.0]), ("y", [4.0, 3.0])], "word STRING, vector ARRAY<DOUBLE>"
     )
-    for limit in (100, 0):  # in the tasks, by join
-        found = embedding.embed(records, words, 2, max_local_values=limit)
-        got = {r.record_id: r.vector for r in found.collect()}
-        assert got["a"] == pytest.approx([2.0, 1.0])
-        assert got["b"] == got["c"] == [0.0, 0.0]
+    got = {r.record_id: r.vector for r in embedding.embed(records, words, 2).collect()}
+    assert got["a"] == pytest.approx([2.0, 1.0])
+    assert got["b"] == got["c"] == [0.0, 0.0]
 
 
-def test_field_embeddings_agree_on_both_ways(spark):
+def test_field_embeddings_are_means(spark):
     rng = np.random.default_rng(6)
     names = [f"w{i}" for i in range(30)]
     rows = [
@@ -85,14 +83,12 @@ def test_field_embeddings_agree_on_both_ways(spark):
     records = spark.createDataFrame(rows, "record_id STRING, f ARRAY<STRING>, g ARRAY<STRING>")
     vectors = {w: rng.normal(size=4).tolist() for w in names[:20]}
     words = spark.createDataFrame(list(vectors.items()), "word STRING, vector ARRAY<DOUBLE>")
-    for limit in (1000, 0):
-        found = embedding.embed_fields(records, words, 4, ["f", "g"], max_local_values=limit)
-        got = {r.record_id: r for r in found.collect()}
-        for name, f, g in rows:
-            for column, tokens in (("f", f), ("g", g)):
-                known = [vectors[t] for t in tokens if t in vectors]
-                want = np.mean(known, axis=0) if known else np.zeros(4)
-                assert np.allclose(got[name][column], want)
+    got = {r.record_id: r for r in embedding.embed_fields(records, words, 4, ["f", "g"]).collect()}
+    for name, f, g in rows:
+        for column, tokens in (("f", f), ("g", g)):
+            known = [vectors[t] for t in tokens if t in vectors]
+            want = np.mean(known, axis=0) if known else np.zeros(4)
+            assert np.allclose(got[name][column], want)
 
 
 def test_word_vectors_cover_the_vocabulary(spark):
@@ -112,30 +108,42 @@ def test_number_of_clusters(spark):
     assert got == {0: 0, 1: 1, 5: 2, 100: 5, 419: 20}
 
 
-@pytest.mark.parametrize("direct", [1000, 3])
-def test_clusters_cover_every_record_once(spark, direct):
+@pytest.mark.parametrize("members", [20, 3])
+def test_clusters_cover_every_record_once(spark, members):
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(8, 3)) * 30
     matrix = np.repeat(centers, 40, axis=0) + rng.normal(size=(320, 3))
     matrix[:110] = matrix[0]  # a third of the rows are copies
-    config = dataclasses.replace(
-        Config(kmeans_iterations=20), max_direct_clusters=direct, max_cell_rows=50
-    )
+    config = Config(kmeans_iterations=20, kmeans_inits=3, members_per_cluster=members)
     df = frame(spark, matrix, "vec")
     got = clusters.fit_clusters(df, config).collect()
     assert sorted(r.record_id for r in got) == list(range(320))
     labels = {r.record_id: r.cluster_id for r in got}
+    assert len({labels[i] for i in range(110)}) == 1
+    sizes = collections.Counter(labels.values())
+    assert all(n < 2 * members for c, n in sizes.items() if c != labels[0])
     cost = sum(
-        ((members - members.mean(0)) ** 2).sum()
+        ((rows - rows.mean(0)) ** 2).sum()
         for c in set(labels.values())
-        for members in [matrix[[i for i in range(320) if labels[i] == c]]]
+        for rows in [matrix[[i for i in range(320) if labels[i] == c]]]
     )
     assert cost < 0.05 * ((matrix - matrix.mean(0)) ** 2).sum()
     assert len({(r.cell, r.cluster_id) for r in got}) == len(set(labels.values()))
 
 
-def test_centroid_table_above_the_bound_is_refused(spark):
-    df = frame(spark, np.eye(3), "vec")
-    table = df.select(F.col("record_id").alias("cluster_id"), F.col("vec").alias("centroid"))
-    with pytest.raises(ValueError):
-        clusters.nearest_centroid(df, table, max_values=8)
+def test_a_cluster_may_hold_only_copies(spark):
+    got = clusters.fit_clusters(frame(spark, np.ones((200, 2)), "vec"), Config()).collect()
+    assert len(got) == 200 and len({r.cluster_id for r in got}) == 1
+    assert clusters.fit_clusters(frame(spark, np.ones((1, 2)), "vec").limit(0), Config()).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [8192, 7])
+def test_nearest_centroid_in_blocks(spark, block_rows):
+    rng = np.random.default_rng(5)
+    points, table = rng.normal(size=(40, 3)), rng.normal(size=(25, 3))
+    table[7] = table[3]
+    centroids = frame(spark, table, "centroid").withColumnRenamed("record_id", "cluster_id")
+    found = clusters.nearest_centroid(frame(spark, points, "vec"), centroids, block_rows)
+    for r in found.collect():
+        distances = np.round(np.sqrt(((points[r.record_id] - table) ** 2).sum(1)), 9)
+        assert r.cluster_id == distances.argmin() and r.distance == pytest.approx(distances.min())

@@ -211,10 +211,9 @@ def test_long_lists_are_split_into_documents(spark):
         "key_word ARRAY<STRING>, key_phrase ARRAY<STRING>, related_id STRING, distance DOUBLE",
     )
     docs = related.nested_report(df, page_rows=10).collect()
-    assert len(docs) > 1
-    listed = [[i.related_id for i in d.list_of_rel_bugs] for d in docs]
-    assert sorted(sum(listed, [])) == sorted(f"r{i}" for i in range(50))
-    assert all(x == sorted(x, key=lambda r: int(r[1:])) for x in listed)
+    docs.sort(key=lambda d: d.page)
+    assert [len(d.list_of_rel_bugs) for d in docs] == [10] * 5
+    assert [i.related_id for d in docs for i in d.list_of_rel_bugs] == [f"r{i}" for i in range(50)]
     assert docs[0].list_of_rel_bugs[0].bug_distance.count(".") == 1
 
 
