@@ -37,6 +37,7 @@ class Config:
     members_per_cluster: int = 20
     kmeans_iterations: int = 200
     kmeans_inits: int = 30
+    kmeans_tolerance: float = 1e-3
     neighbours: int = 20
     min_frequency: int = 2
     seed: int = 42

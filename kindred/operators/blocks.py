@@ -65,12 +65,10 @@ def block_join(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
-    bins = F.greatest(
-        sizes.agg(
-            F.ceil(F.sum(F.greatest("_ln", "_rn")) / block_rows).cast("long")
-        ).scalar(),
-        F.lit(tasks).cast("long"),
-    )
+    # Small cells fill bins of about a block; every block of a large cell is a bin.
+    wanted = sizes.agg(F.sum(F.col("_lc") * F.col("_rc")), F.sum(F.greatest("_ln", "_rn"))).first()
+    tasks = max(tasks, -(-(wanted[1] or 0) // block_rows))
+    bins = F.lit(max(tasks, wanted[0] or 0)).cast("long")
     # Small cells share a bin; each block of a large cell has its own.
     bin_of = F.when(
         (F.col("_lc") > 1) | (F.col("_rc") > 1),
@@ -81,7 +79,7 @@ def block_join(
         columns = df.columns
         return (
             df.join(sizes, "cell")
-            .withColumn(own, F.pmod(F.xxhash64("vec"), F.col(own_n)).cast("int"))
+            .withColumn(own, F.pmod(F.xxhash64(*columns), F.col(own_n)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
             .select(*columns, "_lb", "_rb", bin_of.alias("_bin"))
             # A fixed number: the blocks are small in bytes and heavy in work, so

@@ -159,7 +159,7 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
     return totals.select(ratio.alias("calinski_harabasz"))
 
 
-FAN = 8  # parts that a cell is split into at once
+FAN = 16  # parts that a cell is split into at once
 
 
 def _parts(centers: DataFrame, points: DataFrame) -> DataFrame:
@@ -194,25 +194,29 @@ def _moved(centers: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _best_centers(points: DataFrame, wanted: DataFrame, config: Config) -> DataFrame:
-    """(cell, start, centers) of the best of several starts in every cell.
+    """(cell, start, centers) of a k-means in every cell.
 
-    ``wanted``: (cell, k). A start takes k points of the cell in a hash-random order. Steps go on
-    until no cost falls any more, or ``kmeans_iterations`` are done.
+    ``wanted``: (cell, k). A start takes k points of the cell in a hash-random order; of
+    ``kmeans_inits`` starts the one with the least cost goes on. Its steps end when the cost falls
+    by no more than ``kmeans_tolerance`` of itself, or after ``kmeans_iterations``.
     """
     starts = F.explode(F.sequence(F.lit(1), F.lit(config.kmeans_inits)))
     order = F.xxhash64("pid", "start", F.lit(config.seed))
     place = F.row_number().over(Window.partitionBy("cell", "start").orderBy(order, "pid"))
     firsts = (
-        points.select("cell", "pid", "vec", starts.alias("start"))
+        points.select("cell", "pid", starts.alias("start"))
         .withColumn("part", place)
         .where(F.col("part") <= FAN)
         .join(wanted, "cell")
         .where("part <= k")
+        .join(points.select("cell", "pid", "vec"), ["cell", "pid"])
         .groupBy("cell", "start")
         .agg(F.sort_array(F.collect_list(F.struct("part", F.col("vec").alias("center")))).alias("centers"))
-        .withColumn("cost", F.lit(float("inf")))
     )
-    now, done, steps = through_table(firsts, "centers"), [], 0
+    tried = _moved(through_table(firsts, "centers"), points)
+    best = F.min_by(F.struct("start", "centers", "cost"), F.struct("cost", "start")).alias("best")
+    now = tried.groupBy("cell").agg(best).select("cell", "best.*")
+    now, done, steps = through_table(now, "centers"), [], 1
     while steps < config.kmeans_iterations:
         # Two steps at a time: fewer passes through tables.
         middle = _moved(now.drop("cost"), points)
@@ -221,15 +225,12 @@ def _best_centers(points: DataFrame, wanted: DataFrame, config: Config) -> DataF
         )
         after = through_table(after, "centers")
         steps += 2
-        still = F.col("cost") >= F.col("before") * (1 - 1e-9)
-        done.append(after.where(still).select("cell", "start", "centers", "cost"))
+        still = F.col("cost") >= F.col("before") * (1 - config.kmeans_tolerance)
+        done.append(after.where(still).select("cell", "start", "centers"))
         now = after.where(~still).select("cell", "start", "centers", "cost")
         if now.isEmpty():
-            break
-    ended = reduce(DataFrame.unionByName, [*done, now])
-    return ended.groupBy("cell").agg(
-        F.min_by(F.struct("start", "centers"), F.struct("cost", "start")).alias("best")
-    ).select("cell", "best.start", "best.centers")
+            return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, [*done, now.drop("cost")])
 
 
 def fit_clusters(records: DataFrame, config: Config) -> DataFrame:
@@ -240,7 +241,7 @@ def fit_clusters(records: DataFrame, config: Config) -> DataFrame:
     cell has less than twice ``members_per_cluster`` records or one point. Centres are rows of a
     table, the same steps serve any number of records, and nothing but geometry parts two records.
     ``cell`` is the first ancestor with at most the square root of all records times
-    ``members_per_cluster``, or a thousandth of all records if that is more: at most 8000 cells.
+    ``members_per_cluster``, or a five-hundredth of all records if that is more: at most 8000 cells.
     """
     members = config.members_per_cluster
     folded = records.groupBy("vec").agg(F.count(F.lit(1)).cast("double").alias("weight"))
@@ -248,7 +249,7 @@ def fit_clusters(records: DataFrame, config: Config) -> DataFrame:
         folded.select(F.monotonically_increasing_id().alias("pid"), "vec", "weight"), "points"
     )
     total = points.agg(F.sum("weight")).first()[0] or 0
-    coarse = max(math.sqrt(total * members), total / 1000)
+    coarse = max(math.sqrt(total * members), total / 500)
     level = points.withColumns({"cell": F.lit(0).cast("long"), "outer": F.lit(None).cast("long")})
     final = []
     while True:

@@ -19,8 +19,9 @@ from suite.sql import with_ctes
 
 
 def _vectors(docs):
-    """Document vectors as a stored table: every step below reads them."""
-    return through_table(views.document_vectors(docs), "vectors")
+    """Document vectors as a stored table, with the source as search cell."""
+    source = F.substring_index("cluster_id", "-", 1).alias("cell")
+    return through_table(views.document_vectors(docs).select("*", source), "vectors")
 
 
 def _reviewed(spark, sf, corpus):
@@ -28,14 +29,14 @@ def _reviewed(spark, sf, corpus):
 
 
 def _cells(corpus):
-    return neighbors.cell_table(
-        corpus, neighbors.mean_cells(corpus, "cluster_id"), "cluster_id"
-    )
+    return neighbors.cell_table(corpus, neighbors.mean_cells(corpus, "cell"), "cell")
 
 
 def _candidates(spark, sf, docs=None):
     corpus = _vectors(views.tokens(spark, sf) if docs is None else docs)
-    return related.candidates(_reviewed(spark, sf, corpus), corpus, _cells(corpus))
+    return related.candidates(
+        _reviewed(spark, sf, corpus), corpus, _cells(corpus), cell_col="cell"
+    )
 
 
 def _categories(spark, sf):
@@ -81,7 +82,9 @@ def candidate_union(spark, sf):
 def related_ranked(spark, sf):
     docs = views.tokens(spark, sf)
     corpus = _vectors(docs)
-    found = related.candidates(_reviewed(spark, sf, corpus), corpus, _cells(corpus))
+    found = related.candidates(
+        _reviewed(spark, sf, corpus), corpus, _cells(corpus), cell_col="cell"
+    )
     full = related.enrich(found, views.records(spark, sf), _tags(docs))
     return related.by_distance(
         full.withColumns(
@@ -137,7 +140,6 @@ def _corpus_and_queries(spark, sf):
         tags=_tags(docs),
         fields=fields,
         categories=categories,
-        cell_col="cluster_id",
     )
     queries = Queries(
         vectors=_reviewed(spark, sf, vectors),

@@ -31,11 +31,14 @@ def test_every_sql_has_a_query():
 def test_jobs(spark):
     from pyspark.sql import functions as F
 
+    from kindred.config import Config
     from kindred.plans import jobs
     from kindred.session import scratch_path
     from kindred.sources.artifacts import ArtifactStore
     from suite import views
-    from suite.job_queries import QUICK
+    QUICK = Config(
+        vector_size=16, word2vec_iterations=1, pca_components=10, kmeans_iterations=10, kmeans_inits=2
+    )
 
     store = ArtifactStore(spark, scratch_path(spark, "jobs"))
     as_of = F.lit(views.AS_OF).cast("timestamp")
@@ -56,8 +59,41 @@ def test_jobs(spark):
     assert report.where("query_id = related_id").count() == 0
     assert report.groupBy("query_id", "related_id").count().where("count > 1").count() == 0
 
-    scored = jobs.score(views.new_records(spark, SMALL), store, QUICK, as_of)
+    # Reports of several runs may be read later, in any order.
+    fresh = views.new_records(spark, SMALL)
+    some = jobs.score(fresh.limit(11), store, QUICK, as_of)
+    scored = jobs.score(fresh, store, QUICK, as_of)
+    assert some.select("query_id").distinct().count() == 11
+    assert store.table("quality").count() == 1
     path = scratch_path(spark, "out")
     jobs.write_report(scored, path)
     documents = spark.read.json(f"{path}/json")
     assert documents.count() == views.new_records(spark, SMALL).count()
+
+
+def test_lemmas_reach_the_fit(spark):
+    """Two forms of a verb get one vector and one token."""
+    from pyspark.sql import functions as F
+
+    from kindred.config import TEXT_FIELDS, Config
+    from kindred.plans import jobs
+    from kindred.session import scratch_path
+    from kindred.sources.artifacts import ArtifactStore
+
+    rows = [
+        {"record_id": f"r{i}", "headline": ("crashes", "crashed", "boots", "reboots")[i % 4]} for i in range(24)
+    ]
+    schema = "record_id STRING, headline STRING"
+    records = spark.createDataFrame([(r["record_id"], r["headline"]) for r in rows], schema)
+    for column in (*TEXT_FIELDS[1:], "component", "project", "product", "manager", "severity", "duplicate_of", "engineer"):
+        records = records.withColumn(column, F.lit(None).cast("string"))
+    records = records.withColumn("submitted_on", F.lit("2024-01-01").cast("timestamp"))
+    lexicon = spark.createDataFrame([("crash",), ("boot",)], "token STRING")
+    exceptions = spark.createDataFrame([("reboots", "boot")], "token STRING, lemma STRING")
+    config = Config(vector_size=4, word2vec_iterations=1, pca_components=2, kmeans_inits=1, min_frequency=1)
+    store = ArtifactStore(spark, scratch_path(spark, "lemmas"))
+    jobs.fit(records, store, config, F.lit("2025-01-01").cast("timestamp"), lexicon, exceptions)
+    words = {r.word for r in store.table("word_vectors").collect()}
+    assert words == {"crash", "boot"}
+    fields = {r.record_id: r.headline for r in store.table("field_vectors").collect()}
+    assert fields["r0"] == fields["r1"] != fields["r2"] == fields["r3"]
