@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.session import through_table
+
 TOP_WORDS = 5
 TOP_RECORDS = 5
 WORDS_BEFORE, WORDS_AFTER = 2, 2
@@ -68,13 +70,25 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return rows, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with at most ``_PAIRS`` tokens, or one record."""
+    for batch in batches:
+        reach = np.cumsum(pc.list_value_length(batch.column("tokens")).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = reach[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(reach, done + _PAIRS, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(keyword, word, n) summed within slices of a batch.
 
     Repeats of a word in a record are counted first; the keyword and word pairs then
     exist only as numbers, at most ``_PAIRS`` at a time beyond one record.
     """
-    for batch in batches:
+    for batch in _slices(batches):
         row, code, words = _lists(batch.column("tokens"))
         key_row, key_code, keys = _lists(batch.column("keywords"))
         if not len(key_row) or not len(row):
@@ -105,11 +119,11 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def keyword_records(records: DataFrame, keywords: DataFrame) -> DataFrame:
     """(keyword, n_records)."""
-    return (
-        _hits(records, keywords)
-        .groupBy("keyword")
-        .agg(F.count(F.lit(1)).alias("n_records"))
-    )
+    return _records_per_keyword(_hits(records, keywords))
+
+
+def _records_per_keyword(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def cooccurring_words(
@@ -121,10 +135,12 @@ def cooccurring_words(
     times faster here than exploding every pair into a row. The ranking keeps ``top``
     rows per keyword and task before it shuffles again.
     """
-    partial = (
-        _with_keywords(records, keywords)
-        .select("tokens", "keywords")
-        .mapInArrow(_pair_counts, "keyword STRING, word STRING, n LONG")
+    return _cooccurring(_with_keywords(records, keywords), top)
+
+
+def _cooccurring(tagged: DataFrame, top: int = TOP_WORDS) -> DataFrame:
+    partial = tagged.select("tokens", "keywords").mapInArrow(
+        _pair_counts, "keyword STRING, word STRING, n LONG"
     )
     counts = partial.groupBy("keyword", "word").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("keyword").orderBy(F.desc("n"), "word")
@@ -133,9 +149,12 @@ def cooccurring_words(
 
 def top_word_lists(records: DataFrame, keywords: DataFrame) -> DataFrame:
     """(keyword, words): the co-occurring words of each keyword in rank order."""
+    return _listed(cooccurring_words(records, keywords))
+
+
+def _listed(ranked: DataFrame) -> DataFrame:
     return (
-        cooccurring_words(records, keywords)
-        .groupBy("keyword")
+        ranked.groupBy("keyword")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "word"))).alias("ranked"))
         .select("keyword", F.col("ranked.word").alias("words"))
     )
@@ -151,13 +170,24 @@ def scored_records(
     phrase is shuffled afterwards.
     """
     words = top_word_lists(records, keywords) if words is None else words
+    return _scored(_with_keywords(records, keywords), words)
+
+
+def _scored(tagged: DataFrame, words: DataFrame) -> DataFrame:
+    """The words of a keyword go to the short (record, keyword) rows, and these to the tokens."""
+    named = (
+        tagged.select("record_id", F.explode("keywords").alias("keyword"))
+        .join(words, "keyword")
+        .groupBy("record_id")
+        .agg(F.collect_list(F.struct("keyword", "words")).alias("named"))
+    )
     first = F.array_position("tokens", F.col("keyword"))
     start = F.greatest(first - WORDS_BEFORE, F.lit(1))
     phrase = F.slice("tokens", start, first + WORDS_AFTER - start + 1)
     return (
-        _with_keywords(records, keywords)
-        .select(F.explode("keywords").alias("keyword"), "record_id", "tokens")
-        .join(words, "keyword")
+        tagged.select("record_id", "tokens")
+        .join(named, "record_id")
+        .select("record_id", "tokens", F.inline("named"))
         .select(
             "keyword",
             "record_id",
@@ -200,8 +230,11 @@ def keyword_report(
     counts = frequent(vocabulary(records), min_frequency).withColumnRenamed("token", "keyword")
     if keywords is not None:
         counts = counts.join(keywords.select("keyword").distinct(), "keyword", "left_semi")
-    words = top_word_lists(records, counts)
-    scored = scored_records(records, counts, words)
+    counts = through_table(counts, "counts")
+    # The records that hold a keyword, with all of their keywords: looked up once.
+    tagged = through_table(_with_keywords(records, counts), "tagged")
+    words = through_table(_listed(_cooccurring(tagged)), "words")
+    scored = _scored(tagged, words)
     order = Window.partitionBy("keyword").orderBy(F.desc("score"), "record_id")
     phrases = (
         scored.withColumn("rank", F.row_number().over(order))
@@ -210,7 +243,7 @@ def keyword_report(
         .agg(F.array_sort(F.collect_list(F.struct("rank", "phrase"))).alias("ranked"))
         .select("keyword", F.col("ranked.phrase").alias("phrases"))
     )
-    n_records = keyword_records(records, counts)
+    n_records = _records_per_keyword(tagged.select(F.explode("keywords").alias("keyword")))
     return (
         counts.join(phrases, "keyword")
         .join(words, "keyword")

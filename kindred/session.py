@@ -46,12 +46,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Deletes a scratch table that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def spread(df, key: str):
     """Spreads rows by ``key`` when there are fewer input splits than cores.
 

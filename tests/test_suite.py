@@ -97,3 +97,27 @@ def test_lemmas_reach_the_fit(spark):
     assert words == {"crash", "boot"}
     fields = {r.record_id: r.headline for r in store.table("field_vectors").collect()}
     assert fields["r0"] == fields["r1"] != fields["r2"] == fields["r3"]
+
+
+def test_record_ids_are_never_cut(spark):
+    from suite import views
+
+    ids = spark.createDataFrame([(7,), (10_000_001,)], "doc_id LONG")
+    assert [r[0] for r in ids.select(views.record_id()).collect()] == ["R0000007", "R10000001"]
+
+
+def test_clusters_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from kindred.session import scratch_path
+
+    def session(master):
+        empty = SimpleNamespace(get=lambda *a: None)
+        context = SimpleNamespace(master=master, getConf=lambda: empty)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None, set=lambda *a: None), sparkContext=context)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            scratch_path(session(master), "x")
+    for master in ("local", "local[*]", "local[8]"):
+        assert scratch_path(session(master), "x")
