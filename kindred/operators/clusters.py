@@ -138,7 +138,10 @@ def squared_silhouette(records: DataFrame) -> float:
 
 
 def calinski_harabasz(records: DataFrame) -> DataFrame:
-    """(calinski_harabasz): dispersion between clusters over dispersion within."""
+    """(calinski_harabasz): dispersion between clusters over dispersion within.
+
+    Null where it is not defined: one cluster, as many as records, or no dispersion within.
+    """
     mean = records.agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("vec"))))).scalar()
     between = F.col("n") * squared_euclidean(F.col("centroid"), F.col("_mean"))
     centroids = centroid_table(records)
@@ -155,7 +158,9 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
         F.sum("within").alias("within"),
         F.sum(between).alias("between"),
     )
-    ratio = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
+    ratio = F.try_divide(
+        F.try_divide("between", F.col("k") - 1), F.try_divide("within", F.col("n") - F.col("k"))
+    )
     return totals.select(ratio.alias("calinski_harabasz"))
 
 
