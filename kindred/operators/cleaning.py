@@ -56,7 +56,7 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame) ->
     a letter each time, so the rounds end. The work grows with the vocabulary, not with
     the text.
     """
-    words = tokens.select("token").distinct()
+    words = through_table(tokens.select("token").distinct(), "words")
     known = lexicon.select(F.col("token").alias("form")).distinct()
 
     def best(candidates: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame) ->
         )
         found.append(accepted)
         level = level.join(accepted, "token", "left_anti").select("token", "forms")
-    return reduce(DataFrame.unionByName, found).where("lemma <> token")
+    return through_table(reduce(DataFrame.unionByName, found).where("lemma <> token"), "lemmas")
 
 
 def lemmatize(
