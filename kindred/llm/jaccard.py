@@ -92,10 +92,11 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("place"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) for s in sets], pa.binary()),
             ],
-            ["doc_id", "n", "digest"],
+            ["doc_id", "place", "n", "digest"],
         )
 
 
@@ -332,16 +333,22 @@ def _verify(batches):
 
 
 def _tokens(batches):
-    hashes = WordHashes()
+    """The set of each class; a text that only shares its place with the class is passed over."""
+    hashes, seen = WordHashes(), set()
     for batch in batches:
+        found = []
+        for cls, digest, text in zip(*(batch.column(i) for i in range(3))):
+            cls = cls.as_py()
+            if cls in seen:
+                continue
+            s = shingle_set(text.as_py(), hashes)
+            if _digest(s) == digest.as_py():
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(cls)
+                found.append((cls, s.tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("cls"),
-                pa.array(
-                    [shingle_set(t, hashes).tobytes() for t in batch.column("text").to_pylist()],
-                    pa.binary(),
-                ),
-            ],
+            [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.int64(), pa.binary()))],
             ["cls", "shingles"],
         )
 
@@ -385,11 +392,15 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
-    sized = through_table(texts.mapInArrow(_sets, f"doc_id {kind}, n long, digest binary"), "sized")
+    # Ids may be null or stand at different texts, so a text is found again by a hash of both.
+    texts = texts.withColumn("place", F.xxhash64("doc_id", "text"))
+    sized = through_table(
+        texts.mapInArrow(_sets, f"doc_id {kind}, place long, n long, digest binary"), "sized"
+    )
     full = sized.where("n > 0")
     classes = through_table(
         full.groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"))
+        .agg(F.min("doc_id").alias("first_id"), F.min("place").alias("place"))
         .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
@@ -429,8 +440,8 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     wanted = entries.select("cls").distinct().join(classes, "cls")
     tokens = through_table(
-        texts.join(wanted.select("cls", F.col("first_id").alias("doc_id")), "doc_id")
-        .select("cls", "text")
+        texts.join(wanted.select("cls", "digest", "place"), "place")
+        .select("cls", "digest", "text")
         .mapInArrow(_tokens, "cls long, shingles binary")
         .dropDuplicates(["cls"]),
         "tokens",

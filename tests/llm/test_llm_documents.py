@@ -140,6 +140,16 @@ def test_jaccard_components(docs, empty, block, monkeypatch):
         assert jaccard.similarity_classes(empty).count() == 0
 
 
+def test_jaccard_reused_and_null_ids(spark):
+    texts = [words(60, 50 + i, 10_000) for i in range(6)]
+    rows = [(1, t) for t in texts[:3]]  # one id at different texts
+    rows += [(2, edited(texts[0], [5])), (3, edited(texts[1], [5])), (None, edited(texts[2], [5]))]
+    rows += [(4, texts[3]), (None, edited(texts[3], [5])), (None, edited(texts[3], [5]))]
+    rows += [(None, texts[4]), (None, edited(texts[4], [5])), (None, texts[5]), (None, None)]
+    got = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, got)) == brute_components(rows)
+
+
 def test_jaccard_near_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)
     rng = random.Random(7)
