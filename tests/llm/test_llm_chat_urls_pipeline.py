@@ -172,6 +172,37 @@ def test_near_duplicate_stage(stages):
     assert after.where("doc_id is null").count() == before.where("doc_id is null").count()
 
 
+def brute_near_duplicates(rows):
+    """The rows (id, text) that stay, one of each group, ids before null ids."""
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, group = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if group[i] != group[j] and 100 * len(a & b) >= 75 * len(a | b) > 0:
+                group = [group[j] if g == group[i] else g for g in group]
+    best = {}
+    for g, (id_, _), i in zip(group, rows, range(len(rows))):
+        best[g] = min(best.get(g, (2,)), (id_ is None, id_ or 0, i))
+    return Counter(rows[i] for *_, i in best.values())
+
+
+def test_near_duplicate_stage_reused_and_null_ids(spark):
+    text = lambda k, edit="": " ".join([*(f"w{k}x{i}" for i in range(40)), edit])
+    rows = [
+        (1, text(1)), (2, text(1, "a")), (2, text(2)),  # 2 is a near copy and a clean text
+        (3, text(3)), (3, text(4)), (3, text(4, "b")),  # one id at two texts, nothing else linked
+        (None, text(5)), (None, text(5)), (None, text(5, "c")),  # one group without ids
+        (None, text(6)), (4, text(6, "d")), (None, text(7)), (5, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    after = corpus_pipeline.near_duplicate_stage(spark, docs, SF)
+    assert bag(after) == brute_near_duplicates(rows)
+
+
 def test_decontamination_stage(spark, stages):
     before, after = stages[2]
     items = [decontaminate.plain(r.text.encode()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
