@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, urls
+from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, trie, urls
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,6 +194,53 @@ def op6(spark, sf):
     return urls.judge(table(spark, sf, "pages")).drop("log_odds")
 
 
+@query(
+    "op11_prefix_trie",
+    r"""
+WITH t AS (
+  SELECT conv_id, octet_length(encode(coalesce(text, ''))) AS bytes,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS place
+  FROM conversations
+), c AS (
+  SELECT DISTINCT conv_id, xor(4294967295::BIGINT, list_reduce(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda crc, b: list_reduce(range(8),
+      lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(crc, b)),
+    4294967295::BIGINT)) % 9 AS h
+  FROM conversations
+), r AS (
+  SELECT c.conv_id, place, mark, bytes FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND place <= h
+  UNION ALL
+  SELECT c.conv_id, place, mark, bytes FROM c JOIN t ON t.conv_id = c.conv_id AND place > h
+), p AS (
+  SELECT conv_id, bytes, row_number() OVER w AS depth, string_agg(mark, '') OVER w AS prefix
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), e AS (
+  SELECT prefix, string_agg(conv_id, ',' ORDER BY conv_id) AS ends
+  FROM (SELECT conv_id, max_by(prefix, depth) AS prefix FROM p GROUP BY conv_id) GROUP BY prefix
+), n AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved
+  FROM p GROUP BY prefix, depth
+), k AS (
+  SELECT left(prefix, 32 * (depth - 1)::INT) AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+), s AS (
+  SELECT left(n.prefix, 32 * up::INT) AS prefix, sum(saved) AS saved,
+    count(*) FILTER (k.n_children IS NULL) AS n_leaves
+  FROM n LEFT JOIN k USING (prefix), unnest(range(depth + 1)) u(up) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM n JOIN s USING (prefix) LEFT JOIN k USING (prefix) LEFT JOIN e USING (prefix)
+  LEFT JOIN n m ON m.prefix = left(n.prefix, 32 * (n.depth - 1)::INT) AND m.depth = n.depth - 1
+""",
+)
+def op11(spark, sf):
+    return trie.trie(trie.rebuild(trie.sequences(table(spark, sf, "conversations"))))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline
