@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, trie, urls
+from kindred.llm import align, chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, trie, urls
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,6 +241,11 @@ def op11(spark, sf):
     return trie.trie(trie.rebuild(trie.sequences(table(spark, sf, "conversations"))))
 
 
+@query("op12_tokenizer_alignment")
+def op12(spark, sf):
+    return align.alignment_report(table(spark, sf, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline
