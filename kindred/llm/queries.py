@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import align, chat, decontaminate, exact, jaccard, lm, mixing, quality, secrets, shards, trie, urls
+from kindred.llm import (
+    align,
+    chat,
+    decontaminate,
+    exact,
+    extract,
+    jaccard,
+    lm,
+    mixing,
+    quality,
+    secrets,
+    shards,
+    trie,
+    urls,
+)
 from kindred.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,6 +260,11 @@ def op12(spark, sf):
     return align.alignment_report(table(spark, sf, "documents"))
 
 
+@query("op13_html_extraction")
+def op13(spark, sf):
+    return extract.extract(table(spark, sf, "pages"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline

@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 def test_registered():
     registered = __spark_entry__.queries()
     assert set(QUERIES) <= set(registered) and "pipeline" in registered
-    assert {int(m[1]) for n in QUERIES if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in QUERIES if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
 
 
 def test_template():
