@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,30 @@ VERB_ENDINGS = (
 )
 
 
-def _shortened(word: Column) -> list[Column]:
-    """Per ending: the word with the ending replaced, or null."""
-    return [
-        F.when(
-            word.endswith(ending),
-            F.concat(
-                F.substring(word, F.lit(1), F.length(word) - len(ending)),
-                F.lit(replacement),
-            ),
-        )
-        for ending, replacement in VERB_ENDINGS
-    ]
+def shortened(word: str) -> list[str]:
+    """The word with each ending replaced that it has."""
+    forms = [word[: -len(ending)] + end for ending, end in VERB_ENDINGS if word.endswith(ending)]
+    return [form for form in forms if form]
+
+
+def _forms(batches):
+    """All forms of a token that shortening leads to, by rounds; the token itself in the first."""
+    names = ["token", "round", "position", "form"]
+    for batch in batches:
+        out = []
+        for token in batch.column("token").to_pylist():
+            forms, seen, rounds = shortened(token), {token}, 1
+            out.append((token, 1, 0, token))
+            while forms:
+                # A form that came up before, with all that follows from it, adds nothing.
+                forms = [f for f in dict.fromkeys(forms) if f not in seen]
+                seen.update(forms)
+                out.extend((token, rounds, i + 1, form) for i, form in enumerate(forms))
+                forms = [f for form in forms for f in shortened(form)]
+                rounds += 1
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string()]
+        columns = list(zip(*out)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame) -> DataFrame:
@@ -53,91 +67,103 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame) ->
     the lexicon has it, and the shortest counts first. The token itself is a candidate, so
     a verb in its base form keeps it. Where no candidate of a round is known, the next
     round shortens the candidates again, until a form is known or none is left: forms lose
-    a letter each time, so the rounds end. The work grows with the vocabulary, not with
-    the text.
+    a letter each time, so the rounds end. The forms of all rounds are looked up at once; the work
+    grows with the vocabulary, not with the text.
     """
-    words = through_table(tokens.select("token").distinct(), "words")
+    words = through_table(tokens.select("token").where("token IS NOT NULL").distinct(), "words")
     known = lexicon.select(F.col("token").alias("form")).distinct()
-
-    def best(candidates: DataFrame) -> DataFrame:
-        return (
-            candidates.join(known, "form", "left_semi")
-            .groupBy("token")
-            .agg(F.min_by("form", F.struct(F.length("form"), "position", "form")).alias("lemma"))
-        )
-
     listed = exceptions.select("token").distinct()
-    found = [
-        best(
-            words.join(exceptions.select("token", F.col("lemma").alias("form")), "token")
-            .unionByName(words.join(listed, "token").select("token", F.col("token").alias("form")))
-            .withColumn("position", F.lit(0))
-        )
-    ]
-    level = words.join(listed, "token", "left_anti").withColumn("forms", F.array("token"))
-    shorter = F.filter(
-        F.flatten(F.transform("forms", lambda w: F.array(*_shortened(w)))),
-        lambda w: w.isNotNull() & (w != ""),
+    special = (
+        words.join(exceptions.select("token", F.col("lemma").alias("form")), "token")
+        .unionByName(words.join(listed, "token").select("token", F.col("token").alias("form")))
+        .select("token", F.lit(0).alias("round"), F.lit(0).alias("position"), "form")
     )
-    while True:
-        level = level.withColumn("forms", shorter)
-        # The token itself is a candidate of the first round.
-        own = F.array("token") if len(found) == 1 else F.array().cast("array<string>")
-        level = through_table(
-            level.withColumn("candidates", F.concat(own, "forms")).where(F.size("candidates") > 0),
-            "forms",
-        )
-        if level.isEmpty():
-            break
-        accepted = through_table(
-            best(level.select("token", F.posexplode("candidates").alias("position", "form"))), "lemmas"
-        )
-        found.append(accepted)
-        level = level.join(accepted, "token", "left_anti").select("token", "forms")
-    return through_table(reduce(DataFrame.unionByName, found).where("lemma <> token"), "lemmas")
+    plain = words.join(listed, "token", "left_anti").mapInArrow(
+        _forms, "token string, round int, position int, form string"
+    )
+    order = F.struct("round", F.length("form"), "position", "form")
+    found = (
+        plain.unionByName(special)
+        .join(known, "form", "left_semi")
+        .groupBy("token")
+        .agg(F.min_by("form", order).alias("lemma"))
+    )
+    return through_table(found.where("lemma <> token"), "lemmas")
 
 
 def lemmatize(
     records: DataFrame,
     lexicon: DataFrame,
     exceptions: DataFrame,
-    id_col: str = "record_id",
     tokens_col: str = "tokens",
 ) -> DataFrame:
-    """Replaces each token by its lemma; order and repeats stay.
+    """Replaces each token by its lemma; order, repeats and all other columns stay.
 
-    Only (id, distinct changed token, lemma) travels: the lemma table is joined to the
-    distinct tokens of each record, and the changes come back as one small map per
-    record. Hot tokens that do not change never leave their task when Spark broadcasts
-    the lemma table, which it does when its measured size allows.
+    Rows are handled one by one: ids may repeat or be null, and are not looked at.
     """
     lemmas = lemma_table(records.select(F.explode(tokens_col).alias("token")), lexicon, exceptions)
-    return replace_tokens(records, lemmas, id_col, [tokens_col])
+    return replace_tokens(records, lemmas, [tokens_col])
+
+
+LEMMA_BYTES = 32_000_000  # of a table (token, lemma) that every task may hold
 
 
 def replace_tokens(
-    records: DataFrame, lemmas: DataFrame, id_col: str, token_cols: Sequence[str]
+    records: DataFrame, lemmas: DataFrame, token_cols: Sequence[str], most_bytes: int = LEMMA_BYTES
 ) -> DataFrame:
-    """Replaces the tokens that a table (token, lemma) has."""
-    all_tokens = F.array_distinct(F.flatten(F.array(*token_cols)))
+    """Replaces the tokens that a table (token, lemma), one row per token, has.
+
+    The table holds only tokens that change. Up to ``most_bytes`` it goes to the tasks, which look
+    up the tokens of a batch where they are read; nothing is shuffled then. A larger one is joined to the
+    distinct tokens of each row, by a number that rows get in a stored table.
+    """
+    size = F.sum(F.octet_length("token") + F.octet_length("lemma") + 16)
+    if (lemmas.agg(size).first()[0] or 0) <= most_bytes:
+        table = lemmas.select("token", "lemma").toArrow()
+        changed, into = (table.column(c).combine_chunks().cast(pa.string()) for c in ("token", "lemma"))
+        return _looked_up(records, changed, into, list(token_cols))
+    return _joined(records, lemmas, token_cols)
+
+
+def _looked_up(records: DataFrame, changed: pa.Array, into: pa.Array, token_cols: list[str]) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            for name in token_cols:
+                i = batch.schema.get_field_index(name)
+                tokens = batch.column(i)
+                # The column may be a slice; nulls take no part of the flat tokens.
+                flat = tokens.flatten()
+                at = pc.index_in(flat, value_set=changed)
+                flat = pc.coalesce(into.take(at), flat.cast(pa.string()))
+                lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                offsets = pa.array(ends, pa.int32(), mask=np.append(np.array(tokens.is_null()), False))
+                columns[i] = pa.ListArray.from_arrays(offsets, flat)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return records.mapInArrow(run, records.schema)
+
+
+def _joined(records: DataFrame, lemmas: DataFrame, token_cols: Sequence[str]) -> DataFrame:
+    row = "_row"
+    while row in records.columns:
+        row += "_"
+    rows = through_table(records.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    all_tokens = F.array_distinct(F.flatten(F.array(*(F.coalesce(c, F.array()) for c in token_cols))))
     changes = (
-        records.select(id_col, F.explode(all_tokens).alias("token"))
+        rows.select(row, F.explode(all_tokens).alias("token"))
         .join(lemmas, "token")
-        .groupBy(id_col)
+        .groupBy(row)
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
     )
+    lemma = lambda t: F.coalesce(F.try_element_at("_lemmas", t), t)
     return (
-        records.join(changes, id_col, "left")
+        rows.join(changes, row, "left")
         .withColumns(
-            {
-                c: F.when(
-                    F.col("_lemmas").isNotNull(),
-                    F.transform(c, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t)),
-                ).otherwise(F.col(c))
-                for c in token_cols
-            }
+            {c: F.when(F.col("_lemmas").isNotNull(), F.transform(c, lemma)).otherwise(F.col(c)) for c in token_cols}
         )
-        .drop("_lemmas")
+        .select(*records.columns)
     )
 
 
@@ -152,9 +178,27 @@ def clean_fields(
 
     With a lexicon and exceptions the tokens are lemmatized before they are joined.
     """
-    tokens = field_tokens(records, fields, lexicon, exceptions, **options)
-    joined = [tx.join_tokens(F.col(f)).alias(f"{f}_clean") for f in fields]
-    return records.join(tokens.select("record_id", *joined), "record_id")
+    names = {f: f"{f}_clean" for f in fields}
+    tokens = records.withColumns({n: _field_tokens(f, options) for f, n in names.items()})
+    tokens = _with_lemmas(tokens, list(names.values()), lexicon, exceptions)
+    return tokens.withColumns({n: tx.join_tokens(F.col(n)) for n in names.values()})
+
+
+def _field_tokens(field: str, options: dict) -> Column:
+    return tx.clean_tokens(F.coalesce(F.col(field), F.lit("Missing")), **options)
+
+
+def _with_lemmas(
+    tokens: DataFrame, columns: list[str], lexicon: DataFrame | None, exceptions: DataFrame | None
+) -> DataFrame:
+    """Lemmas in one pass over all columns; without a lexicon tokens stay as they are."""
+    if lexicon is None:
+        return tokens
+    stored = through_table(tokens, "tokens")
+    lemmas = lemma_table(
+        stored.select(F.explode(F.flatten(F.array(*columns))).alias("token")), lexicon, exceptions
+    )
+    return replace_tokens(stored, lemmas, columns)
 
 
 def field_tokens(
@@ -166,17 +210,8 @@ def field_tokens(
 ) -> DataFrame:
     """(record_id, one token column per field): lemmas in one pass over all fields."""
     fields = list(fields)
-    tokens = records.select(
-        "record_id",
-        *[tx.clean_tokens(F.coalesce(F.col(f), F.lit("Missing")), **options).alias(f) for f in fields],
-    )
-    if lexicon is None:
-        return tokens
-    stored = through_table(tokens, "field-tokens")
-    lemmas = lemma_table(
-        stored.select(F.explode(F.flatten(F.array(*fields))).alias("token")), lexicon, exceptions
-    )
-    return replace_tokens(stored, lemmas, "record_id", fields)
+    tokens = records.select("record_id", *[_field_tokens(f, options).alias(f) for f in fields])
+    return _with_lemmas(tokens, fields, lexicon, exceptions)
 
 
 def clean_text_table(
@@ -197,8 +232,7 @@ def clean_text_table(
     )
     with_message = records.select("record_id", joined.alias("message"))
     with_tokens = with_message.withColumn("tokens", tx.clean_tokens(F.col("message"), **options))
-    if lexicon is not None:
-        with_tokens = lemmatize(through_table(with_tokens, "tokens"), lexicon, exceptions)
+    with_tokens = _with_lemmas(with_tokens, ["tokens"], lexicon, exceptions)
     return with_tokens.withColumn("text", tx.join_tokens(F.col("tokens")))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from kindred.config import Config
 from kindred.functions.vectors import squared_euclidean
 from kindred.operators.blocks import BLOCK_ROWS, block_join, nearest_rows, squared_distances
+from kindred.operators.exact import mean_vectors
 from kindred.session import through_table
 
 
@@ -26,10 +27,8 @@ def number_of_clusters(n: Column, members: int = 20) -> Column:
 
 
 def centroid_table(records: DataFrame) -> DataFrame:
-    """(cluster_id, centroid): mean vector per cluster, partial sums before the shuffle."""
-    return records.groupBy("cluster_id").agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col("vec")))).alias("centroid")
-    )
+    """(cluster_id, centroid): mean vector per cluster, the same for any partitioning."""
+    return mean_vectors(records, ["cluster_id"], "vec", "centroid")
 
 
 def nearest_centroid(

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.config import Config
+from kindred.operators.exact import PART_TYPES, PARTS, carried, combine, lists, matrix, split
+from kindred.session import through_table
+
 
 def fit_word_vectors(records: DataFrame, config: Config, tokens_col: str = "tokens") -> DataFrame:
     """(word, vector ARRAY<DOUBLE>) from Spark's skip-gram Word2Vec."""
@@ -37,26 +44,13 @@ def embed(
 ) -> DataFrame:
     """(keys, vector): mean of the vectors of the known words; zeros when none is known.
 
-    The words of a record are counted first, so a repeated word is joined once, and the
-    mean is a weighted aggregate with partial sums. Spark sends the word table to the
-    tasks when its measured size allows, and shuffles otherwise; the plan is the same.
+    One row per record: records with the same or null keys stay apart. Null tokens count as none. The
+    mean does not depend on how records are dealt to tasks.
     """
     keys = list(keys)
-    vectors = word_vectors.select("word", array_to_vector("vector").alias("_v"))
-    means = (
-        records.select(*keys, F.explode(tokens_col).alias("word"))
-        .groupBy(*keys, "word")
-        .agg(F.count(F.lit(1)).cast("double").alias("_n"))
-        .join(vectors, "word")
-        .groupBy(*keys)
-        .agg(Summarizer.mean(F.col("_v"), F.col("_n")).alias("_mean"))
-        .select(*keys, vector_to_array("_mean").alias("vector"))
-    )
-    zeros = F.array_repeat(F.lit(0.0), size)
-    return (
-        records.select(*keys)
-        .join(means, keys, "left")
-        .select(*keys, F.coalesce("vector", zeros).alias("vector"))
+    rows, means = _embedded(records, word_vectors, size, keys, [tokens_col])
+    return rows.join(means.drop("_field"), "_row", "left").select(
+        *keys, F.coalesce("_mean", F.array_repeat(F.lit(0.0), size)).alias("vector")
     )
 
 
@@ -65,16 +59,196 @@ def embed_fields(
 ) -> DataFrame:
     """(record_id, one vector column per field) from one token column per field.
 
-    All fields are embedded in one pass.
+    All fields are embedded in one pass; one row per record, as in :func:`embed`.
     """
     fields = list(fields)
-    stacked = stack(records, fields, "tokens")
-    long = embed(stacked, word_vectors, size, ["record_id", "field"])
-    return (
-        long.groupBy("record_id")
-        .pivot("field", fields)
-        .agg(F.first("vector", ignorenulls=True))
+    rows, means = _embedded(records, word_vectors, size, ["record_id"], fields)
+    zeros = F.array_repeat(F.lit(0.0), size)
+    wide = means.groupBy("_row").agg(
+        *(F.first(F.when(F.col("_field") == i, F.col("_mean")), ignorenulls=True).alias(f) for i, f in enumerate(fields))
+    )
+    return rows.join(wide, "_row", "left").select(
+        "record_id", *(F.coalesce(f, zeros).alias(f) for f in fields)
+    )
+
+
+BLOCK_NUMBERS = 4_000_000  # numbers of a block of the word table
+TOKENS = 1_000_000  # tokens that are counted at once
+_CELLS = "_block int, _chunk long, _rows binary, _at binary, _counts binary, _words array<string>"
+
+
+def _counted(keys, fields, blocks):
+    """Rows of records, and for each block of words the counts of a chunk of records.
+
+    A chunk's row for a block has its words once and, for every word of a record, the row, the place of
+    the word and its count.
+    """
+
+    def run(batches):
+        task, row, chunk = TaskContext.get().partitionId() << 33, 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            ids = task + row + np.arange(n)
+            row += n
+            nothing = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())]
+            nothing += [pa.nulls(n, pa.binary())] * 3 + [pa.nulls(n, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), *(batch.column(k) for k in keys), *nothing], names
+            )
+            for f, field in enumerate(fields):
+                lengths = np.array(pc.fill_null(pc.list_value_length(batch.column(field)), 0))
+                cuts = np.concatenate([[0], np.cumsum(lengths)])
+                low = 0
+                while low < n:
+                    high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + TOKENS, "right")) - 1)
+                    words = batch.column(field).slice(low, high - low).flatten().dictionary_encode()
+                    of = np.repeat(ids[low:high], lengths[low:high]) * len(fields) + f
+                    low = high
+                    known = np.array(words.is_valid())
+                    at = words.indices.drop_null().to_numpy()
+                    if len(at):
+                        types = [batch.schema.field(k).type for k in keys]
+                        yield _cell(of[known], at, words.dictionary, task + chunk, types)
+                        chunk += 1
+
+    def _cell(of, at, words, chunk, types):
+        first, of = np.unique(of, return_inverse=True)
+        pair, counts = np.unique(of * len(words) + at, return_counts=True)
+        of, at = first[pair // len(words)], pair % len(words)
+        block = np.array([zlib.crc32(w.encode()) % blocks for w in words.to_pylist()])
+        out = []
+        for b in np.unique(block):
+            mine = np.flatnonzero(block == b)
+            place = np.full(len(words), -1)
+            place[mine] = np.arange(len(mine))
+            here = block[at] == b
+            blobs = [x.astype(np.int64).tobytes() for x in (of[here], place[at[here]], counts[here])]
+            out.append((int(b), chunk, *blobs, words.take(pa.array(mine)).to_pylist()))
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 3, pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(out), pa.int64()),
+                *(pa.nulls(len(out), t) for t in types),
+                *(pa.array(c, k) for c, k in zip(zip(*out), kinds)),
+            ],
+            names,
+        )
+
+    names = ["_row", *keys, *(part.split()[0] for part in _CELLS.split(", "))]
+    return run
+
+
+def _packed(size, blocks):
+    """The words of a batch that belong to a block as one row, their vectors as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column("word")
+            vectors = matrix(batch.column("vector")).reshape(-1, size)
+            block = np.array([zlib.crc32(w.encode()) % blocks for w in names.to_pylist()])
+            for b in np.unique(block):
+                mine = np.flatnonzero(block == b)
+                words = pa.array([names.take(pa.array(mine)).to_pylist()], pa.list_(pa.string()))
+                blob = pa.array([vectors[mine].astype(float).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), words, blob], ["_block", "_words", "_vectors"])
+
+    return run
+
+
+def _multiplied(size, fields):
+    """Partial sums of records: counts of a chunk times the vectors of a block of words.
+
+    The words of a block come before its chunks.
+    """
+
+    def run(batches):
+        now, words, vectors, table = None, [], [], None
+        for batch in batches:
+            place = batch.column("_place").to_pylist()
+            for i in range(batch.num_rows):
+                if place[i] != now:
+                    now, words, vectors, table = place[i], [], [], None
+                blob = batch.column("_vectors")[i].as_py()
+                if blob is not None:
+                    words.append(batch.column("_words")[i].values)
+                    vectors.append(np.frombuffer(blob).reshape(-1, size))
+                    continue
+                if not words:
+                    continue
+                if table is None:
+                    table = pa.concat_arrays(words)
+                    hi, lo = split(np.concatenate(vectors))
+                    vectors = []
+                blobs = [np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("_rows", "_at", "_counts")]
+                at = pc.index_in(batch.column("_words")[i].values, table).fill_null(-1).to_numpy()[blobs[1]]
+                of, at, counts = (x[at >= 0] for x in (blobs[0], at, blobs[2]))
+                step = max(1, 2_000_000 // size)
+                low = 0
+                while low < len(of):
+                    # Whole records, about two million numbers at a time.
+                    high = min(low + step, len(of))
+                    first = np.flatnonzero(np.diff(of[low:high], prepend=-1))
+                    sums = [
+                        np.add.reduceat(x[at[low:high]] * counts[low:high, None], first) for x in (hi, lo)
+                    ]
+                    sums = carried(*sums)
+                    row = of[low:high][first]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(row // fields),
+                            pa.array((row % fields).astype(np.int32)),
+                            pa.array(np.add.reduceat(counts[low:high], first)),
+                            *map(lists, sums),
+                        ],
+                        ["_row", "_field", *PARTS],
+                    )
+                    low = high
+
+    return run
+
+
+def _embedded(records, word_vectors, size, keys, fields):
+    """(_row, keys) of every record, and (_row, _field, _mean) where a word is known.
+
+    A sparse product in blocks: records are read once and their words counted; the word table is cut
+    by hash into blocks, and each block multiplies the counts of the chunks that reach it, so that a
+    record sends one partial sum per block. A block is copied as often as its chunks need tasks.
+    """
+    spark = records.sparkSession
+    words = word_vectors.select("word", "vector").where("word IS NOT NULL")
+    total = words.agg(F.count(F.lit(1))).first()[0]
+    blocks = 1 + total * size // BLOCK_NUMBERS
+    types = dict(records.dtypes)
+    schema = ", ".join(["_row long", *(f"{k} {types[k]}" for k in keys), _CELLS])
+    stored = through_table(
+        records.select(*keys, *fields).mapInArrow(_counted(keys, fields, blocks), schema), "word-counts"
+    )
+    cells = stored.where("_block IS NOT NULL")
+    chunks = cells.agg(F.count(F.lit(1))).first()[0]
+    copies = max(1, min(-(-chunks // blocks), max(-(-spark.sparkContext.defaultParallelism // blocks), chunks // blocks // 8)))
+    kinds = dict(cells.dtypes)
+    columns = ("_rows", "_at", "_counts")
+    copy = F.sequence(F.col("_block") * copies, F.col("_block") * copies + F.lit(copies - 1))
+    tables = (
+        words.mapInArrow(_packed(size, blocks), "_block int, _words array<string>, _vectors binary")
+        .select(F.explode(copy).alias("_place"), "_words", "_vectors")
+        .select("*", *(F.lit(None).cast(kinds[c]).alias(c) for c in columns))
+    )
+    counts = cells.select(
+        (F.col("_block") * copies + F.pmod(F.xxhash64("_chunk"), F.lit(copies)).cast("int")).alias("_place"),
+        "_words",
+        F.lit(None).cast("binary").alias("_vectors"),
+        *columns,
+    )
+    partials = (
+        tables.unionByName(counts)
+        # More tasks than places, so that few places share one.
+        .repartition(3 * blocks * copies, "_place")
+        .sortWithinPartitions("_place", F.col("_vectors").isNull())
+        .mapInArrow(_multiplied(size, len(fields)), f"_row long, _field int, {PART_TYPES}")
     )
+    means = combine(partials, ["_row", "_field"], "_mean")
+    return stored.where("_row IS NOT NULL").select("_row", *keys), means
 
 
 def stack(wide: DataFrame, fields: Sequence[str], value: str) -> DataFrame:

@@ -10,13 +10,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.vectors import euclidean
 from kindred.operators.blocks import BLOCK_ROWS, block_join, nearest_rows
+from kindred.operators.exact import mean_vectors
 from kindred.session import through_table
 
 
@@ -157,9 +156,8 @@ def cell_table(
 
 def mean_cells(corpus: DataFrame, cell_col: str, vec_col: str = "vec") -> DataFrame:
     """(cell, centroid): mean vector per cell."""
-    return corpus.groupBy(F.col(cell_col).alias("cell")).agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(vec_col)))).alias("centroid")
-    )
+    rows = corpus.select(F.col(cell_col).alias("cell"), F.col(vec_col).alias("vec"))
+    return mean_vectors(rows, ["cell"], "vec", "centroid")
 
 
 def _bounds(cells: DataFrame):

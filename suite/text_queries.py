@@ -68,7 +68,7 @@ def _dictionary(spark, sf):
 def _denoised(texts, key, dictionary):
     """Clean text with lemmas of (key, text)."""
     tokens = through_table(texts.select(key, tx.clean_tokens(F.col("text")).alias("tokens")), "tokens")
-    lemmas = cleaning.lemmatize(tokens, **dictionary, id_col=key)
+    lemmas = cleaning.lemmatize(tokens, **dictionary)
     return lemmas.select(key, tx.join_tokens(F.col("tokens")).alias("text"))
 
 

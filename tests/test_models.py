@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.config import Config
-from kindred.operators import clusters, embedding, scaling
+from kindred.operators import clusters, embedding, exact, scaling
 from kindred.session import scratch_path
 from kindred.sources.artifacts import ArtifactStore
 
@@ -147,3 +147,62 @@ def test_nearest_centroid_in_blocks(spark, block_rows):
     for r in found.collect():
         distances = np.round(np.sqrt(((points[r.record_id] - table) ** 2).sum(1)), 9)
         assert r.cluster_id == distances.argmin() and r.distance == pytest.approx(distances.min())
+
+
+def test_repeated_and_null_ids_keep_their_own_vectors(spark):
+    rows = [("a", ["x", "x"]), ("a", ["y"]), (None, ["x", None, "y"]), ("b", None), ("a", ["x", "x"])]
+    records = spark.createDataFrame(rows, "record_id STRING, tokens ARRAY<STRING>")
+    words = spark.createDataFrame(
+        [("x", [1.0]), ("y", [4.0]), (None, [9.0])], "word STRING, vector ARRAY<DOUBLE>"
+    )
+    got = [(r.record_id, r.vector[0]) for r in embedding.embed(records, words, 1).collect()]
+    assert sorted(got, key=str) == sorted([("a", 1.0), ("a", 4.0), (None, 2.5), ("b", 0.0), ("a", 1.0)], key=str)
+    fields = records.withColumn("other", F.lit(None).cast("array<string>"))
+    got = embedding.embed_fields(fields, words, 1, ["tokens", "other"]).collect()
+    assert sorted(r.tokens[0] for r in got) == [0.0, 1.0, 1.0, 2.5, 4.0] and all(r.other == [0.0] for r in got)
+    assert embedding.embed(records.limit(0), words, 1).collect() == []
+
+
+def test_word_table_in_several_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    names = [f"w{i}" for i in range(200)]
+    vectors = {w: rng.normal(size=6) * 10.0 ** rng.integers(-6, 4) for w in names}
+    words = spark.createDataFrame([(w, v.tolist()) for w, v in vectors.items()], "word STRING, vector ARRAY<DOUBLE>")
+    rows = [(i, [str(w) for w in rng.choice(names, rng.integers(1, 400))]) for i in range(60)]
+    records = spark.createDataFrame(rows, "record_id LONG, tokens ARRAY<STRING>")
+    found = []
+    for numbers, tokens, parts in ((100, 50, 2), (4_000_000, 1_000_000, 8)):
+        monkeypatch.setattr(embedding, "BLOCK_NUMBERS", numbers)
+        monkeypatch.setattr(embedding, "TOKENS", tokens)
+        frame = records.repartition(parts, F.rand(parts))
+        found.append({r.record_id: r.vector for r in embedding.embed(frame, words, 6).collect()})
+    # The same bytes for any blocks and partitions.
+    assert found[0] == found[1]
+    for i, tokens in rows:
+        assert np.allclose(found[0][i], np.mean([vectors[t] for t in tokens], axis=0), rtol=1e-12, atol=1e-14)
+
+
+def test_mean_vectors_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(3000, 5)) * 10.0 ** rng.integers(-8, 6, size=(3000, 1))
+    # One key holds most rows; some ids are null.
+    rows = [(None if i % 50 == 0 else 1 if i % 3 else i % 40, i % 4 + 1.0, p.tolist()) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "k LONG, w DOUBLE, vec ARRAY<DOUBLE>")
+    got = []
+    for parts in (1, 2, 8):
+        means = exact.mean_vectors(frame.repartition(parts, F.rand(parts)), ["k"], "vec", "m", "w")
+        got.append({r.k: r.m for r in means.collect()})
+    assert got[0] == got[1] == got[2]
+    for k in (None, 1, 6):
+        mine = [(w, v) for key, w, v in rows if key == k]
+        assert np.allclose(got[0][k], np.average([v for _, v in mine], axis=0, weights=[w for w, _ in mine]), atol=1e-9)
+    plain = {r.k: r.m for r in exact.mean_vectors(frame, ["k"], "vec", "m").collect()}
+    assert np.allclose(plain[1], np.mean([v for k, _, v in rows if k == 1], axis=0), atol=1e-9)
+
+
+def test_split_keeps_every_digit():
+    x = np.concatenate([np.random.default_rng(4).normal(size=500) * 10.0**e for e in range(-4, 9)])
+    hi, lo = exact.split(x)
+    assert np.allclose(exact.value(hi, lo), x, rtol=2**-52, atol=2**-52)
+    a, b = exact.carried(hi * 7, lo * 7)
+    assert (b >= 0).all() and (b < 2**40).all() and np.allclose(exact.value(a, b), 7 * x, rtol=1e-15, atol=1e-15)

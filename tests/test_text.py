@@ -116,6 +116,28 @@ def test_lemmas(spark):
     assert got == {"r1": ["crash", "go", "run", "fly", "crash", "need", "zzzs"], "r2": []}
 
 
+@pytest.mark.parametrize("most_bytes", [10**6, 0])
+def test_lemmas_of_repeated_and_null_ids(spark, most_bytes):
+    rows = [("a", ["walked", "x"], 1), ("a", ["walked", "talks"], 2), (None, ["walked", None], 3), ("b", None, 4), (None, [], 5)]
+    records = spark.createDataFrame(rows, "record_id STRING, tokens ARRAY<STRING>, _row INT")
+    lemmas = spark.createDataFrame([("walked", "walk"), ("talks", "talk")], "token STRING, lemma STRING")
+    got = cleaning.replace_tokens(records, lemmas, ["tokens"], most_bytes)
+    assert got.columns == records.columns
+    want = [("a", ["walk", "x"], 1), ("a", ["walk", "talk"], 2), (None, ["walk", None], 3), ("b", None, 4), (None, [], 5)]
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[2]) == want
+    none = cleaning.replace_tokens(records, lemmas.limit(0), ["tokens"], most_bytes)
+    assert sorted((tuple(r) for r in none.collect()), key=lambda r: r[2]) == rows
+
+
+def test_clean_fields_keeps_rows_apart(spark):
+    rows = [("a", "They walked.", 1), ("a", "Walked home", 2), (None, "walked", 3), (None, None, 4)]
+    records = spark.createDataFrame(rows, "record_id STRING, f STRING, n INT")
+    lexicon = spark.createDataFrame([("walk",)], "token STRING")
+    none = spark.createDataFrame([], "token STRING, lemma STRING")
+    got = cleaning.clean_fields(records, ["f"], lexicon, none).collect()
+    assert {r.n: r.f_clean.split() for r in got} == {1: ["walk"], 2: ["walk", "home"], 3: ["walk"], 4: []}
+
+
 def test_second_round_of_endings(spark):
     tokens = spark.createDataFrame([("bookings",)], "token STRING")
     lexicon = spark.createDataFrame([("book",)], "token STRING")
