@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kindred.functions import vectors as v
 from kindred.operators import categories as cat
 from kindred.operators import clusters, duplicates, neighbors, scaling
+from kindred.operators.silhouette import silhouette
 from suite import views
 from suite.registry import query
 from suite.sql import with_ctes
@@ -260,8 +261,8 @@ def cluster_count(spark, sf):
         FROM ab""",
     ),
 )
-def silhouette(spark, sf):
-    return clusters.silhouette(views.embeddings(spark, sf)).select(
+def silhouette_(spark, sf):
+    return silhouette(views.embeddings(spark, sf)).select(
         r6(F.col("silhouette")).alias("silhouette")
     )
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.operators import clusters, duplicates, neighbors
+from kindred.operators import clusters, duplicates, neighbors, silhouette
 
 
 def corpus_frame(spark, vectors, groups):
@@ -137,10 +137,7 @@ def test_plan_limits_before_the_shuffle(spark, capsys):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
-@pytest.mark.parametrize("block_rows", [9, 8192])
-def test_silhouette_equals_brute_force(spark, block_rows):
-    vectors, groups = skewed(np.random.default_rng(3), n=60, copies=20)
-    corpus = corpus_frame(spark, vectors, groups)
+def brute_silhouette(vectors, groups):
     dist = np.sqrt(((vectors[:, None] - vectors[None]) ** 2).sum(-1))
     scores = []
     for i in range(len(vectors)):
@@ -149,7 +146,53 @@ def test_silhouette_equals_brute_force(spark, block_rows):
             scores.append(0.0)
             continue
         a = dist[i][own].sum() / (own.sum() - 1)
-        b = min(dist[i][groups == g].mean() for g in set(groups) - {groups[i]})
+        b = min(dist[i][groups == g].mean() for g in set(groups.tolist()) - {groups[i]})
         scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
-    got = clusters.silhouette(corpus, block_rows).first()[0]
-    assert got == pytest.approx(np.mean(scores), abs=1e-6)
+    return np.mean(scores)
+
+
+@pytest.mark.parametrize("block_rows", [9, 8192])
+def test_silhouette_equals_brute_force(spark, block_rows):
+    vectors, groups = skewed(np.random.default_rng(3), n=60, copies=20)
+    corpus = corpus_frame(spark, vectors, groups)
+    got = silhouette.silhouette(corpus, block_rows).first()[0]
+    assert got == pytest.approx(brute_silhouette(vectors, groups), abs=1e-6)
+    # Overlapping clusters, singles, and cells that hold several clusters.
+    rng = np.random.default_rng(4)
+    vectors, groups = rng.normal(size=(150, 4)), rng.integers(0, 40, 150)
+    corpus = corpus_frame(spark, vectors, groups).withColumn("cell", F.col("cluster_id") % 7)
+    got = silhouette.silhouette(corpus, block_rows).first()[0]
+    assert got == pytest.approx(brute_silhouette(vectors, groups), abs=1e-6)
+
+
+def test_silhouette_edges(spark):
+    one = corpus_frame(spark, np.eye(3), [0, 0, 0])
+    assert silhouette.silhouette(one).first()[0] is None
+    assert silhouette.silhouette(one.limit(0)).first()[0] is None
+    singles = corpus_frame(spark, np.eye(3), [0, 1, 2])
+    assert silhouette.silhouette(singles).first()[0] == 0.0
+    same = corpus_frame(spark, np.ones((4, 2)), [0, 0, 1, 1])
+    assert silhouette.silhouette(same).first()[0] == pytest.approx(0.0, abs=1e-6)
+
+
+def test_silhouette_opens_few_clusters(spark):
+    rng = np.random.default_rng(5)
+    n, k = 3000, 150
+    groups = rng.integers(0, k, n)
+    outer = 100 * rng.normal(size=(15, 6))
+    centres = outer[np.arange(k) % 15] + 12 * rng.normal(size=(k, 6))
+    vectors = centres[groups] + rng.normal(size=(n, 6))
+    corpus = corpus_frame(spark, vectors, groups).withColumn("cell", F.col("cluster_id") % 15)
+    points = silhouette._points(corpus)
+    spheres = silhouette._spheres(points)
+    opened = silhouette.opened_clusters(points, spheres)
+    compared = opened.join(spheres.select(F.col("cluster_id").alias("cell"), "n"), "cell").agg(F.sum("n")).first()[0]
+    near = silhouette._near_cells(points, silhouette._cells(spheres), None).count() * 10
+    assert opened.count() < 3 * n and compared + near < n * n / 20
+    # The nearest cluster is always among those opened.
+    mean = np.stack([np.sqrt(((vectors[:, None] - vectors[groups == g]) ** 2).sum(-1)).mean(1) for g in range(k)], 1)
+    mean[np.arange(n), groups] = np.inf
+    keys = {r.row: tuple(r.vec) for r in points.collect()}
+    place = {tuple(v): i for i, v in enumerate(vectors.tolist())}
+    found = {(place[keys[r.row]], r.cell) for r in opened.collect()}
+    assert all((i, int(g)) in found for i, g in enumerate(mean.argmin(1)))
