@@ -29,3 +29,20 @@ def remainder(column: str, divisor: int) -> Column:
 
 def rows_of(frame: DataFrame) -> int:
     return frame.agg(F.count(F.lit(1))).first()[0]
+
+
+def free_name(wanted: str, taken) -> str:
+    """``wanted`` with as many ``_`` as make it differ from all names in ``taken``; case does not count."""
+    taken = {c.lower() for c in taken}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def kept_names(keep, results) -> list[str]:
+    """Names under which columns are handed on beside those of a result: changed where they clash."""
+    out = []
+    for c in keep:
+        others = [k for k in keep if k != c]
+        out.append(c if c.lower() not in {r.lower() for r in results} else free_name(c, [*results, *others, *out]))
+    return out

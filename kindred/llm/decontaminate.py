@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kindred.llm.common import text_of
 
@@ -69,6 +70,21 @@ def myers(item: bytes, text: bytes, budget: int) -> tuple[int, int] | None:
     return (best, end) if end >= 0 else None
 
 
+def standing(item: bytes, text: bytes, low: int, high: int) -> int:
+    """End of the first place in text[low:high] where ``item`` stands as whole words, -1 without one."""
+
+    def letter(i):
+        return 0 <= i < len(text) and (text[i] >= 128 or chr(text[i]).isalnum())
+
+    at = text.find(item, low, high)
+    while at >= 0:
+        end = at + len(item)
+        if not (letter(at - 1) and letter(at) or letter(end - 1) and letter(end)):
+            return end
+        at = text.find(item, at + 1, high)
+    return -1
+
+
 class Matcher:
     """Finds the items of a block in plain texts."""
 
@@ -112,7 +128,10 @@ class Matcher:
         out = []
         for i, spans in self.windows(text.decode("latin-1")).items():
             id_, item = self.items[i]
-            hits = [(m[0], a + m[1]) for a, b in spans if (m := myers(item, text[a:b], self.budgets[i]))]
+            if self.budgets[i]:
+                hits = [(m[0], a + m[1]) for a, b in spans if (m := myers(item, text[a:b], self.budgets[i]))]
+            else:
+                hits = [(0, end) for a, b in spans if (end := standing(item, text, a, b)) >= 0]
             if hits:
                 out.append((id_, *min(hits)))
         return out
@@ -145,7 +164,7 @@ def contaminated(
 
     Returns ``doc_id``, ``item_id``, ``distance`` (edits of the best passage) and ``passage_end`` (its
     end in the plain text). Null and blank texts and items match nothing; an item of fewer than 15
-    bytes must stand unchanged. Items with the same id are matched each, repeated ones once; repeated
+    bytes must stand unchanged and as whole words. Ids may have any type. Items with the same id are matched each, repeated ones once; repeated
     documents give repeated rows. An empty table gives an empty result. Other columns are not looked
     at.
     """
@@ -167,20 +186,25 @@ def contaminated(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(rows, pa.int32())),
-                        pa.array([m[0] for m in found], item_kind),
+                        pa.array([bytes(m[0]) if isinstance(m[0], bytearray) else m[0] for m in found], item_kind),
                         pa.array([m[1] for m in found], pa.int32()),
                         pa.array([m[2] for m in found], pa.int32()),
                     ],
                     ["doc_id", "item_id", "distance", "passage_end"],
                 )
 
-        item_kind = {"int": pa.int32(), "bigint": pa.int64()}.get(kinds[1], pa.string())
+        item_kind = to_arrow_type(benchmark.schema[item_col].dataType)
         out = out.unionByName(texts.mapInArrow(run, schema))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no test item stands, with all their columns."""
+    """The rows of ``docs`` in which no test item stands, with all their columns.
+
+    A null or blank text holds no item and stays, null and blank items drop nothing. Rows are judged
+    one by one, so repeated rows and ids stay or go alike; without documents there are no rows, without
+    items all stay. Columns may have any name.
+    """
     out = docs
     for block in _blocks(benchmark, item_col, text_col):
         out = out.where(_free_of(block)(text_of(text_col).cast("binary")))

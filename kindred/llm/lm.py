@@ -102,6 +102,13 @@ def _chunks(batches, names=()):
         yield chunk, rows
 
 
+def _runs(where: np.ndarray):
+    """(range, start, end) of each run of equal ranges."""
+    cuts = np.flatnonzero(where[1:] != where[:-1]) + 1
+    starts = np.concatenate([[0], cuts]) if len(where) else cuts
+    return [(int(where[i]), i, j) for i, j in zip(starts, [*cuts, len(where)])]
+
+
 def _bigrams(ranges: int):
     def run(batches):
         for chunk, _ in _chunks(batches):
@@ -113,11 +120,9 @@ def _bigrams(ranges: int):
             counts = np.diff(np.append(at, len(first))).astype(np.uint32)
             first, second = first[at], second[at]
             where = first % np.uint64(ranges)
-            cuts = np.searchsorted(where, np.arange(ranges + 1, dtype=np.uint64))
             rows = [
                 (r, first[i:j].tobytes(), second[i:j].tobytes(), counts[i:j].tobytes())
-                for r, (i, j) in enumerate(zip(cuts, cuts[1:]))
-                if i < j
+                for r, i, j in _runs(where)
             ]
             yield _blob_batch(rows)
 
@@ -157,7 +162,7 @@ def _contexts(folder: str, ranges: int):
             keys = bigram_keys(first, second)
             order = np.argsort(keys)
             _save(folder, f"bigram-{r}", keys[order])
-            _save(folder, f"bigram-count-{r}", counts[order].astype(np.uint32))
+            _save(folder, f"bigram-count-{r}", counts[order])
             at = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
             _save(folder, f"context-{r}", first[at])
             stats = [np.add.reduceat(x, at) for x in (counts, counts == 1, counts == 2, counts > 2)]
@@ -167,7 +172,6 @@ def _contexts(folder: str, ranges: int):
             where = words % np.uint64(ranges)
             order = np.argsort(where, kind="stable")
             where, words, follows, seen = where[order], words[order], follows[order], seen[order]
-            cuts = np.searchsorted(where, np.arange(ranges + 1, dtype=np.uint64))
             rows = [
                 (
                     w,
@@ -175,14 +179,14 @@ def _contexts(folder: str, ranges: int):
                     follows[i:j].astype(np.uint32).tobytes(),
                     seen[i:j].tobytes(),
                 )
-                for w, (i, j) in enumerate(zip(cuts, cuts[1:]))
-                if i < j
+                for w, i, j in _runs(where)
             ]
             blobs = _blob_batch(rows)
             # The totals of a range stand in its first row.
             columns = [pa.array([t] + [0] * (len(rows) - 1), pa.int64()) for t in totals]
+            columns.append(pa.array([r] * len(rows), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [*blobs.columns, *columns], [*blobs.schema.names, *TOTALS]
+                [*blobs.columns, *columns], [*blobs.schema.names, *TOTALS, "own"]
             )
 
     return run
@@ -229,6 +233,8 @@ class Model:
     of_bigrams: np.ndarray
     of_words: np.ndarray
     few: tuple[int, int, int]  # words that follow one, two, more words
+    of_firsts: frozenset[int]  # ranges that have first words
+    of_seconds: frozenset[int]  # ranges that have second words
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
@@ -245,7 +251,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
         texts.mapInArrow(_bigrams(ranges), BLOBS)
         .repartition(ranges, "range")
         .sortWithinPartitions("range")
-        .mapInArrow(_contexts(folder, ranges), BLOBS + "".join(f", {t} long" for t in TOTALS)),
+        .mapInArrow(_contexts(folder, ranges), BLOBS + "".join(f", {t} long" for t in TOTALS) + ", own int"),
         "follows",
     )
     of = [x or 0 for x in passed.agg(*(F.sum(t) for t in TOTALS)).first()]
@@ -258,9 +264,10 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     v, n, pairs, n1, n2, n3, n4 = (
         x or 0 for x in words.agg(*(F.sum(c) for c in words.columns)).first()
     )
-    return Model(
-        folder, ranges, n, v, pairs, discounts(*of), discounts(n1, n2, n3, n4), (n1, n2, v - n1 - n2)
-    )
+    # One number per range with rows comes to the driver.
+    own, target = (frozenset(r[0] for r in passed.select(c).distinct().collect()) for c in ("own", "range"))
+    few = (n1, n2, v - n1 - n2)
+    return Model(folder, ranges, n, v, pairs, discounts(*of), discounts(n1, n2, n3, n4), few, own, target)
 
 
 class Arrays:
@@ -271,9 +278,10 @@ class Arrays:
 
     def _map(self, name: str):
         if name not in self.maps:
-            path = f"{self.model.folder}/{name}.npy"
-            # A range without rows has no file.
-            self.maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            # A range without rows has no file; where a file is missing, loading raises.
+            has = self.model.of_seconds if name.startswith("word") else self.model.of_firsts
+            there = int(name.rsplit("-", 1)[1]) in has
+            self.maps[name] = np.load(f"{self.model.folder}/{name}.npy", mmap_mode="r") if there else None
         return self.maps[name]
 
     def look_up(self, where: np.ndarray, keys: np.ndarray, name: str, values: str, width: int):

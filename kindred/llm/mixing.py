@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import words_in
+from kindred.llm.common import kept_names, words_in
 from kindred.session import through_table
 
 DIGITS = 3  # of the key, 16 ** 3 ranges in a source
@@ -74,6 +74,9 @@ def random_key(column: str, seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
 
 
+MIX = ("doc_id", "source", "size", "source_size", "target", "copies", "part", "taken")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
@@ -89,7 +92,7 @@ def mix(
     Returns one row per row of ``docs``: ``doc_id``, ``source``, ``size`` (words), ``source_size``,
     ``target`` (its source's), ``copies`` (whole passes over the source), ``part`` (words of the last
     pass: all, none, or some for the one document at the cut), ``taken`` = copies * size + part, and the
-    columns ``keep`` of ``docs``.
+    columns ``keep`` of ``docs`` (with ``_`` added to a name that the result has).
     A null source is a source of its own; null and empty texts have size 0 and give nothing; rows
     with the same id share a key and stand side by side. The result depends on ids, sources and
     sizes alone. Other columns are not looked at.
@@ -133,5 +136,5 @@ def mix(
         .withColumn("copies", copies.cast("long"))
         .withColumn("part", F.greatest(F.lit(0), F.least("size", left - F.col("start"))).cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", "part", "taken", *(F.col("kept")[c].alias(c) for c in keep))
+        .select(*MIX, *(F.col("kept")[c].alias(n) for c, n in zip(keep, kept_names(keep, MIX))))
     )

@@ -2,7 +2,7 @@
 
 Strong findings stand on their own. Weak candidates (user names, unnamed random strings, endpoints)
 are reported only where complementary parts of a credential stand in their scope: an identifier
-needs a secret, a secret an identifier, an endpoint both. The scope is a distance in code points, so
+needs a secret, a secret an identifier, an endpoint both, and all parts are disjoint. The scope is a distance in code points, so
 the parts are linked by an interval join: positions are cut into cells of the scope's length, and
 parts meet over equal cells. Parts of one kind do not overlap, which bounds how many a cell holds.
 
@@ -128,7 +128,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
         F.col("end").alias("e"),
         cells(F.col("start"), F.col("end")).alias("c"),
     )
-    has = lambda p: F.max(F.col("p") == p)
+    first = lambda p: F.min(F.when(F.col("p") == p, F.col("e"))).alias(f"{p}_end")
+    last = lambda p: F.max(F.when(F.col("p") == p, F.col("s"))).alias(f"{p}_start")
     linked = (
         weak.join(
             near,
@@ -136,11 +137,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
             & (F.col("cell") == F.col("c"))
             & (F.col("part") != F.col("p"))
             & (F.col("s") <= F.col("end") + scope)
-            & (F.col("e") >= F.col("start") - scope),
+            & (F.col("e") >= F.col("start") - scope)
+            # A part does not complete itself.
+            & ((F.col("s") >= F.col("end")) | (F.col("e") <= F.col("start"))),
         )
         .groupBy("row", "kind", "start", "end", "part")
-        .agg(has("id").alias("id"), has("key").alias("key"))
-        .where("(part = 'id' AND key) OR (part = 'key' AND id) OR (part = 'end' AND id AND key)")
+        .agg(first("id"), last("id"), first("key"), last("key"))
+        .where(
+            "(part = 'id' AND key_end IS NOT NULL) OR (part = 'key' AND id_end IS NOT NULL)"
+            " OR (part = 'end' AND (id_end <= key_start OR key_end <= id_start))"
+        )
         .select("row", "kind", "start", "end")
     )
     names = F.array(*(F.lit(k[0]) for k in KINDS))
@@ -172,12 +178,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
     )
 
 
+# The base findings once more, as plain as they are asked for; the SQL filters by length afterwards.
+SQL_BASE = {
+    "assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]+",
+    "hex": "[0-9a-f]+",
+}
+
+
 def scan_sql(scope: int = SCOPE) -> str:
     """DuckDB SQL for the digest of :func:`scan` over ``documents``."""
     marks = {"'": "''"}
     quote = lambda p: "'" + "".join(marks.get(c, c) for c in p) + "'"
     selects = []
     for i, (kind, pattern, group, least) in enumerate(KINDS):
+        pattern = SQL_BASE.get(kind, pattern)
         good = f"length(m) >= {least}"
         if kind == "random":
             good += "".join(f" AND regexp_matches(f, '{mark}')" for mark in MIXED)
@@ -207,9 +222,12 @@ WITH found AS MATERIALIZED (SELECT doc_id, kind, start::BIGINT AS start, stop::B
 linked AS (
   SELECT w.doc_id, w.kind, w.start, w.stop FROM found w JOIN found n ON w.doc_id = n.doc_id
     AND w.part <> n.part AND n.start <= w.stop + {scope} AND n.stop >= w.start - {scope}
+    AND (n.start >= w.stop OR n.stop <= w.start)
   WHERE w.kind >= {base} GROUP BY w.doc_id, w.kind, w.start, w.stop, w.part
   HAVING (w.part = 'id' AND bool_or(n.part = 'key')) OR (w.part = 'key' AND bool_or(n.part = 'id'))
-    OR (w.part = 'end' AND bool_or(n.part = 'id') AND bool_or(n.part = 'key'))
+    OR (w.part = 'end' AND (
+      min(n.stop) FILTER (n.part = 'id') <= max(n.start) FILTER (n.part = 'key')
+      OR min(n.stop) FILTER (n.part = 'key') <= max(n.start) FILTER (n.part = 'id')))
 ), listed AS (
   SELECT doc_id, {counts},
     string_agg({text}, ',' ORDER BY start, kind) FILTER (kind < {base}) AS base,

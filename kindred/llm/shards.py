@@ -16,7 +16,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import text_of
+from kindred.llm.common import kept_names, text_of
 from kindred.session import through_table
 
 RESULTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -139,8 +139,9 @@ def shard(
 ) -> DataFrame:
     """Adds a shard to every row; equal texts share one.
 
-    Returns the columns ``keep`` of ``docs`` (with ``_`` added to a name that a result has) and ``size`` (UTF-8 bytes of the text plus 1; a null text
-    has none and stands with the empty ones), ``text_crc32``, ``law`` (always ``bytes``), ``shard``,
+    Returns the columns ``keep`` of ``docs`` (with ``_`` added to a name that a result has, until no
+    column has it) and ``size`` (UTF-8 bytes of the text plus 1; a null text has none and stands with
+    the empty ones), ``text_crc32``, ``law`` (always ``bytes``), ``shard``,
     ``slot`` (position in the shard, from 0 without gaps) and ``grown_shard`` (null under this law).
     No shard exceeds the smallest capacity that a contiguous cut of the ordered groups allows.
     Rows of a group stand by id, a null id first; rows with the same id are numbered in turn. Shards
@@ -148,7 +149,7 @@ def shard(
     """
     text = text_of(text_col)
     rows = docs.select(
-        F.struct(*(F.col(c).alias(c + "_" * (c in RESULTS)) for c in keep)).alias("kept"),
+        F.struct(*(F.col(c).alias(n) for c, n in zip(keep, kept_names(keep, RESULTS)))).alias("kept"),
         F.col(id_col).alias("id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),

@@ -115,7 +115,7 @@ def segment(runs: DataFrame, words: DataFrame) -> DataFrame:
 
 def word_counts(pages: DataFrame, text_col: str) -> DataFrame:
     """Words of up to 20 letters a-z in whole texts, without markup, and how often they occur."""
-    bare = F.regexp_replace(lower(text_of(text_col)), r"<[^>]*>", " ")
+    bare = F.regexp_replace(lower(text_of(text_col)), r"<[^<>]*>", " ")
     words = F.regexp_extract_all(bare, F.lit(rf"(?<![a-z])[a-z]{{2,{LONGEST}}}(?![a-z])"), F.lit(0))
     return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -131,7 +131,7 @@ def judge(
     ``log_odds`` (of block, null where a rule decides).
 
     The longest rule that fits decides, otherwise naive Bayes with add-one counts over host words and
-    path words: block where the odds are above one. Null urls have empty hosts and paths and are
+    path words (in lower case): block where the odds are above one. Null urls have empty hosts and paths and are
     judged by the odds of the two classes, as are all pages where no rule fits any. Repeated pages
     are learnt from and judged each. Other columns are not looked at.
     """
@@ -141,8 +141,8 @@ def judge(
     )
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parsed = through_table(parsed.withColumns({"rule": text, "verdict": verdict}), "pages")
-    found = lambda c: F.regexp_extract_all(F.col(c), F.lit("[a-z]+|[0-9]+"), F.lit(0))
-    hosts = parsed.select("host").distinct().select("host", F.explode(found("host")).alias("run"))
+    found = lambda c, letters: F.regexp_extract_all(c, F.lit(rf"{letters}+|[0-9]+"), F.lit(0))
+    hosts = parsed.select("host").distinct().select("host", F.explode(found(F.col("host"), "[a-z]")).alias("run"))
     hosts = through_table(hosts, "hosts")
     runs = hosts.where("run >= 'a'").select("run").distinct()
     words = through_table(word_counts(pages, text_col), "words")
@@ -157,7 +157,7 @@ def judge(
     host_words = through_table(
         host_words.groupBy("host", "token").agg(F.count(F.lit(1)).alias("n")), "hostwords"
     )
-    path_words = parsed.select("row", "verdict", F.explode(found("path")).alias("word")).select(
+    path_words = parsed.select("row", "verdict", F.explode(found(F.lower("path"), r"\p{L}")).alias("word")).select(
         "row", "verdict", F.concat(F.lit("p:"), digits(F.col("word"))).alias("token"), F.lit(1).cast("long").alias("n")
     )
     decided = parsed.where("verdict is not null")
@@ -194,9 +194,12 @@ def judge(
         .groupBy("row")
         .agg(F.sum(F.coalesce("odds", F.lit(unknown))).alias("path_odds"))
     )
+    # The pages of a frequent host, too, are spread over copies of its odds.
+    salted_hosts = host_odds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rest = (
         parsed.where("verdict is null")
-        .join(host_odds, "host", "left")
+        .withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+        .join(salted_hosts, ["host", "salt"], "left")
         .join(path_odds, "row", "left")
         .withColumn(
             "log_odds",

@@ -366,10 +366,11 @@ def brute_secrets(text):
     order = [k[0] for k in secrets.KINDS]
 
     def linked(x):
-        near = {
-            y[3] for y in out if y[3] != x[3] and y[0] <= x[2] + secrets.SCOPE and y[2] >= x[0] - secrets.SCOPE
-        }
-        return {"id": {"key"}, "key": {"id"}, "end": {"id", "key"}}[x[3]] <= near
+        apart = lambda x, y: y[0] >= x[2] or y[2] <= x[0]
+        near = [y for y in out if y[0] <= x[2] + secrets.SCOPE and y[2] >= x[0] - secrets.SCOPE and apart(x, y)]
+        if x[3] != "end":
+            return any(y[3] == {"id": "key", "key": "id"}[x[3]] for y in near)
+        return any(y[3] == "id" and z[3] == "key" and apart(y, z) for y in near for z in near)
 
     kept = sorted((x for x in out if x[1] in base or linked(x)), key=lambda x: (x[0], order.index(x[1])))
     spell = lambda x: f"{x[1]}:{x[0]}:{x[2]}"
@@ -396,6 +397,9 @@ def test_secrets(spark, empty):
         "AKIA1234 AKIAABCDEFGHIJKL0 " * 30,
         "secret=abcdefgh" * 3,
         "ſecret=abcdefgh toKen=abcdefgh",
+        "client_id: Ab3Cd4Ef5Gh6Ij7Kl8Mn9 see",
+        "client_id: Ab3Cd4Ef5Gh6Ij7Kl8Mn9 at https://a.example/x",
+        "client_id: Ab3Cd4Ef5Gh6Ij7Kl8Mn9 and Zb3Cd4Ef5Gh6Ij7Kl8Mn9 at https://a.example/x",
     ] * 2
     rows = [(i % 20, t) for i, t in enumerate(texts)]
     frame = with_extra(spark.createDataFrame(rows, "doc_id long, text string"))
