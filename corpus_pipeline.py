@@ -10,24 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import decontaminate, jaccard, mixing, quality, shards
-from kindred.llm.common import remainder
+from kindred.llm.common import free_name, remainder
 from kindred.session import through_table
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """Stored documents with a number for each row, so that repeated and null ids stay apart."""
-    name = "row"
-    while name in docs.columns:
-        name += "_"
+    name = free_name("row", docs.columns)
     return through_table(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality classifier rejects; it learns from the labels that are not held out."""
+    """Drops what the quality classifier rejects; it learns from the labels that are not held out.
+
+    A null text counts as empty and is judged like any other. Rows are judged one by one: repeated rows
+    stay or go alike, null ids have no label. Without documents there are no rows. Columns may have any
+    name.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    measured = through_table(quality.measure(docs), "stats")
-    known = labels.select("doc_id", F.col("quality").alias("label"))
-    model = quality.fit(measured.where(remainder("doc_id", 3) != 1).join(known, "doc_id"))
+    known = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").alias("label"))
+    # Labels are joined before anything is measured.
+    learnt = docs.select("doc_id", "text").where(remainder("doc_id", 3) != 1).join(known, "doc_id")
+    learnt = learnt.select(F.struct("doc_id", "label").alias("of"), "text")
+    measured = quality.measure(learnt, "of").select("doc_id.doc_id", "doc_id.label", "stats")
+    model = quality.fit(through_table(measured, "stats"))
     # A score needs only the text, so documents are judged where they are read.
     return quality.keep(docs, model)
 
@@ -36,19 +42,24 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each group of linked ones: the one with the smallest id, then the first row.
 
     Rows without an id stand behind all others, so one of them stays where a group has no id at all.
+    Rows without words are linked with nothing and stay. Columns may have any name.
     """
     rows, row = _numbered(docs)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(row).alias("row"))
     groups = jaccard.similarity_classes(rows.select(place.alias("place"), "text"), "place")
+    its_row = free_name("its_row", rows.columns)
     dropped = through_table(
-        groups.where("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("its_row")),
+        groups.where("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias(its_row)),
         "dropped",
     )
-    return rows.join(dropped, rows[row] == F.col("its_row"), "left_anti").select(*docs.columns)
+    return rows.join(dropped, rows[row] == dropped[its_row], "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a benchmark item stands."""
+    """Drops documents in which a benchmark item stands; null and blank texts stay.
+
+    Rows are judged one by one, whatever their ids; columns may have any name.
+    """
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -59,18 +70,22 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     within the budget; documents without words stay away from the mix.
     """
     rows, row = _numbered(docs)
+    its_row, copies = (free_name(n, rows.columns) for n in ("its_row", "copies"))
     part = F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)
-    times = mixing.mix(rows, keep=(row,)).select(
-        row, F.array_repeat(F.lit(0), (F.col("copies") + part).cast("int")).alias("copies")
-    )
-    taken = times.where(F.size("copies") > 0).withColumnRenamed(row, "its_row")
-    return rows.join(taken.select("its_row", F.explode("copies")), rows[row] == F.col("its_row")).select(
-        *(rows[c] for c in docs.columns)
+    # The mix sees no other columns, so that none can clash with its own.
+    plain = rows.select("doc_id", "source", "text", F.col(row).alias("_its_row"))
+    times = mixing.mix(plain, keep=("_its_row",)).select(
+        F.col("_its_row").alias(its_row), F.array_repeat(F.lit(0), (F.col("copies") + part).cast("int")).alias(copies)
     )
+    taken = times.where(F.size(copies) > 0).select(its_row, F.explode(copies).alias(copies))
+    return rows.join(taken, rows[row] == taken[its_row]).select(*(rows[c] for c in docs.columns))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and slot."""
+    """All documents with their shard and slot; a column that has the name of a result gets ``_`` added.
+
+    A null text has the size of an empty one; equal texts share a shard, repeated rows are kept.
+    """
     return shards.shard(docs, keep=tuple(docs.columns))
 
 
