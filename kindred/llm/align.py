@@ -71,14 +71,17 @@ class ByteBpe:
         ranks = {b: i for i, b in enumerate(self.bytes) if b}
         merged = [m if isinstance(m, str) else "".join(m) for m in model["model"]["merges"]]
         order = [vocabulary[m.replace(" ", "")] for m in merged]
-        if order != sorted(order) or len(ranks) != len(vocabulary):
+        if order != sorted(order) or len(ranks) != len(vocabulary) or len(vocabulary) != 256 + len(order):
             raise ValueError("merges do not stand in the order of ids")
+        before = model["pre_tokenizer"]
+        if model["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"]:
+            raise ValueError("the vocabulary does not take texts as they are")
         self.fast = tiktoken.Encoding("bytes", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if _SETTLED.search(text):
-            return self.exact.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.int64)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
 
 class PieceBpe:
@@ -95,20 +98,24 @@ class PieceBpe:
             for i, p in enumerate(pieces)
         ]
 
-    def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def encode(self, text: str) -> np.ndarray:
+        ids = self.model.encode(text)
+        return np.fromiter(ids, np.int64, len(ids))
 
 
-def meet(a: list[int], b: list[int]):
-    """Indices of both tokens of every link, and for each link whether it closes a group.
+def meet(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Indices of both tokens of every link, in order.
 
-    ``a``, ``b``: rising ends of the tokens of the same bytes, the last ones equal.
+    ``a``, ``b``: rising ends of the tokens of the same bytes, the last ones equal. A link whose ends
+    are equal closes a group.
     """
     i = j = 0
     n = len(a)
-    left, right, closes = [], [], []
+    left, right = [], []
+    add_left, add_right = left.append, right.append
     while i < n:
-        if a[i] == b[j]:
+        x, y = a[i], b[j]
+        if x == y:
             # Jump over the stretch in which all ends agree at this shift.
             shift, start, step = j - i, i, 1
             i += 1
@@ -119,29 +126,31 @@ def meet(a: list[int], b: list[int]):
                 step //= 2
                 if i < n and a[i : i + step] == b[i + shift : i + shift + step]:
                     i += step
-            i = min(i, n)
+            if i == start + 1:
+                add_left(start)
+                add_right(j)
+                j += 1
+                continue
+            if i > n:
+                i = n
             j = i + shift
             left.extend(range(start, i))
             right.extend(range(start + shift, j))
-            closes.extend([True] * (i - start))
         else:
-            x, y = a[i], b[j]
             while x != y:
-                left.append(i)
-                right.append(j)
-                closes.append(False)
+                add_left(i)
+                add_right(j)
                 if x < y:
                     i += 1
                     x = a[i]
                 else:
                     j += 1
                     y = b[j]
-            left.append(i)
-            right.append(j)
-            closes.append(True)
+            add_left(i)
+            add_right(j)
             i += 1
             j += 1
-    return left, right, closes
+    return left, right
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -187,19 +196,18 @@ class _Aligner:
         self.a, self.b = ByteBpe(pair.first), PieceBpe(pair.second)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b))
         # Ids followed by what separates them: in a group, after its first half, after a group.
-        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(max(self.a.size, self.b.size))]
+        self.written = np.array([f"{i}{mark}" for mark in ",|;" for i in range(max(self.a.size, self.b.size))], "S")
 
     def align(self, text: str):
         """Codes of the links, tokens and groups; None where the tokens do not give the text."""
         whole = b" " + text.encode()
         a, b = self.a.encode(" " + text), self.b.encode(text)
-        if b"".join(map(self.a.bytes.__getitem__, a)) != whole:
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        # The first side takes the bytes as they are, so that only a length could differ.
+        if a_ends[-1] != len(whole) or b"".join(map(self.b.bytes.__getitem__, b.tolist())) != whole:
             return None
-        if b"".join(map(self.b.bytes.__getitem__, b)) != whole:
-            return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        left, right, closes = meet(np.cumsum(self.a_sizes[a]).tolist(), np.cumsum(self.b_sizes[b]).tolist())
-        left, right, closes = np.array(left), np.array(right), np.array(closes)
+        left, right = (np.fromiter(x, np.int64, len(x)) for x in meet(a_ends.tolist(), b_ends.tolist()))
+        closes = a_ends[left] == b_ends[right]
         a_ends, b_ends = left[closes] + 1, right[closes] + 1
         groups = self.groups(a, b, a_ends, b_ends)
         return a[left] * self.b.size + b[right], (len(a), len(b), len(a_ends), len(left)), groups
@@ -213,7 +221,8 @@ class _Aligner:
         # A token stands behind its own kind and the other kind's earlier groups (b: and this one).
         out[np.arange(len(a)) + np.repeat(b_ends - b_counts, a_counts)] = a + size * a_marks
         out[np.arange(len(b)) + np.repeat(a_ends, b_counts)] = b + size * b_marks
-        return "".join(map(self.written.__getitem__, out.tolist()))[:-1]
+        # Shorter ids are filled up with zero bytes.
+        return self.written[out].tobytes().translate(None, b"\0")[:-1].decode()
 
 
 ALIGNED = (
@@ -249,8 +258,13 @@ def align(
         def closed():
             codes = [f[0] for f in found]
             of = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-            pairs, place, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-            place = np.sort(of * (len(pairs) + 1) + place) - of * (len(pairs) + 1)
+            # Sorted by code, then by document again: two sorts of whole numbers.
+            both = np.sort(np.concatenate(codes) * len(codes) + of)
+            all_pairs = both // len(codes)
+            first = np.flatnonzero(np.diff(all_pairs, prepend=-1))
+            pairs, counts = all_pairs[first], np.diff(np.append(first, len(both)))
+            place = np.repeat(np.arange(len(pairs)), counts)
+            place = np.sort((both - all_pairs * len(codes)) * (len(pairs) + 1) + place) - of * (len(pairs) + 1)
             cuts = np.cumsum([0, *(len(c) for c in codes)])
             name = f"{task}-{chunks}"
             low = 0

@@ -210,11 +210,10 @@ def test_meet():
         a, b = ([e for e in range(1, end) if r.random() < share] + [end] for _ in range(2))
         if r.random() < 0.3:
             b = list(a)
-        left, right, closes = align.meet(a, b)
+        left, right = align.meet(a, b)
         spans = [list(zip([0, *x], x)) for x in (a, b)]
         links = [(i, j) for i, (p, q) in enumerate(spans[0]) for j, (s, t) in enumerate(spans[1]) if p < t and s < q]
         assert list(zip(left, right)) == links
-        assert [a[i] for i, c in zip(left, closes) if c] == sorted(set(a) & set(b))
 
 
 def test_packed():
@@ -232,7 +231,7 @@ def test_both_byte_encoders_agree():
     settled = [c for c in settled if not align._SETTLED.search(c)]
     for _ in range(300):
         text = "".join(r.choices(settled, k=40))
-        assert bpe.fast.encode_ordinary(text) == bpe.exact.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text).tolist() == bpe.exact.encode(text, add_special_tokens=False).ids
 
 
 # Pages
