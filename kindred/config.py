@@ -37,6 +37,8 @@ class Config:
     members_per_cluster: int = 20
     kmeans_iterations: int = 200
     kmeans_inits: int = 30
+    # Starts that take their steps to the end; the others are judged on the pool they are drawn from.
+    kmeans_starts: int = 3
     kmeans_tolerance: float = 1e-3
     neighbours: int = 20
     min_frequency: int = 2

@@ -98,20 +98,22 @@ def calinski_harabasz(records: DataFrame) -> DataFrame:
 
 
 FAN = 16  # parts that a cell is split into at once
+ROUNDS, DRAWN = 3, 2 * FAN  # draws for the pool of possible centres, and points per draw
 
 
-def _parts(centers: DataFrame, points: DataFrame) -> DataFrame:
-    """The nearest centre of the own cell for every point, lowest number on ties."""
-    best = F.array_min(
+def _least(centers: str, name: str) -> Column:
+    """The squared distance to the nearest element of ``centers`` and its name, lowest on ties."""
+    return F.array_min(
         F.transform(
-            "centers",
-            lambda c: F.struct(
-                squared_euclidean(c.center, F.col("vec")).alias("d"), c.part.alias("part")
-            ),
+            centers, lambda c: F.struct(squared_euclidean(c.center, F.col("vec")).alias("d"), c[name].alias(name))
         )
     )
+
+
+def _parts(centers: DataFrame, points: DataFrame) -> DataFrame:
+    """The nearest centre of the own cell for every point, lowest number on ties."""
     return points.join(centers, "cell").select(
-        *points.columns, "start", best.alias("_b")
+        *points.columns, "start", _least("centers", "part").alias("_b")
     ).select(*points.columns, "start", "_b.part", (F.col("_b.d") * F.col("weight")).alias("cost"))
 
 
@@ -131,30 +133,92 @@ def _moved(centers: DataFrame, points: DataFrame) -> DataFrame:
     )
 
 
+def _pool(points: DataFrame, seed: int) -> DataFrame:
+    """(cell, pid, center, weight): possible centres of every cell and the weight of the points nearest.
+
+    The first is drawn by weight, then ``ROUNDS`` times ``DRAWN`` points by weight times squared
+    distance to the pool so far. Exponential keys draw without replacement, in all cells at once: the
+    points with the least keys are those drawn, and tasks hand on only their own least.
+    """
+
+    def drawn(rows: DataFrame, chance: Column, number: int, n: int) -> DataFrame:
+        bits = F.shiftrightunsigned(F.xxhash64("pid", F.lit(number), F.lit(seed)), 11)
+        key = -F.log((bits + 0.5) / 2.0**53) / chance
+        place = F.row_number().over(Window.partitionBy("cell").orderBy("key", "pid"))
+        keyed = rows.where(chance > 0).select("cell", "pid", "vec", key.alias("key"))
+        return keyed.withColumn("place", place).where(F.col("place") <= n).select(
+            "cell", "pid", F.col("vec").alias("center")
+        )
+
+    def nearest(pool: DataFrame) -> DataFrame:
+        held = pool.groupBy("cell").agg(F.collect_list(F.struct("pid", "center")).alias("pool"))
+        return points.join(held, "cell").select("cell", "pid", "vec", "weight", _least("pool", "pid").alias("_b"))
+
+    pool = through_table(drawn(points, F.col("weight"), 0, 1), "pool")
+    for number in range(1, ROUNDS + 1):
+        more = drawn(nearest(pool), F.col("weight") * F.col("_b.d"), number, DRAWN)
+        pool = through_table(pool.unionByName(more), "pool")
+    weights = nearest(pool).groupBy("cell", F.col("_b.pid").alias("pid")).agg(F.sum("weight").alias("weight"))
+    return pool.join(weights, ["cell", "pid"])
+
+
+def _drawn_starts(config: Config):
+    """``kmeans_inits`` weighted k-means of one cell's pool; the ``kmeans_starts`` best are handed on."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.sort_by("pid")
+        k, weight = cell["k"][0].as_py(), cell["weight"].to_numpy()
+        x = np.array(cell["center"].to_pylist(), float)
+        rng = np.random.default_rng([config.seed, cell["cell"][0].as_py()])
+        found = {}
+
+        def distances(centers):
+            return ((x[:, None] - centers) ** 2).sum(2)
+
+        for _ in range(config.kmeans_inits):
+            chance, picked = weight.astype(float), []
+            while len(picked) < min(k, len(x)) and chance.sum() > 0:
+                picked.append(rng.choice(len(x), p=chance / chance.sum()))
+                chance = weight * distances(x[picked]).min(1)
+            centers, before = x[picked], np.inf
+            while True:
+                d = distances(centers)
+                part, cost = d.argmin(1), float((weight * d.min(1)).sum())
+                if not cost < before * (1 - config.kmeans_tolerance):
+                    break
+                before = cost
+                centers = np.array([np.average(x[part == c], axis=0, weights=weight[part == c]) for c in np.unique(part)])
+            # Starts that part the pool alike are one start.
+            found.setdefault(tuple(np.unique(part, return_index=True)[1][part]), (cost, centers))
+        best = sorted(found.values(), key=lambda f: f[0])[: config.kmeans_starts]
+        lists = [[{"part": i, "center": c.tolist()} for i, c in enumerate(centers, 1)] for _, centers in best]
+        kind = pa.list_(pa.struct([("part", pa.int32()), ("center", pa.list_(pa.float64()))]))
+        names = pa.array([cell["cell"][0].as_py()] * len(best), pa.int64())
+        return pa.table({"cell": names, "start": pa.array(range(len(best)), pa.int32()), "centers": pa.array(lists, kind)})
+
+    return run
+
+
 def _best_centers(points: DataFrame, wanted: DataFrame, config: Config) -> DataFrame:
     """(cell, start, centers) of a k-means in every cell.
 
-    ``wanted``: (cell, k). A start takes k points of the cell in a hash-random order; of
-    ``kmeans_inits`` starts the one with the least cost goes on. Its steps end when the cost falls
-    by no more than ``kmeans_tolerance`` of itself, or after ``kmeans_iterations``.
+    ``wanted``: (cell, k). Every point is measured against a pool of at most 1 + ROUNDS * DRAWN points
+    of its cell; ``kmeans_inits`` starts are drawn from that weighted pool by squared distance, and
+    the ``kmeans_starts`` best take their steps over all points to the end. A start ends when its cost
+    falls by no more than ``kmeans_tolerance`` of itself, or after ``kmeans_iterations``; the one with
+    the least cost stays.
     """
-    starts = F.explode(F.sequence(F.lit(1), F.lit(config.kmeans_inits)))
-    order = F.xxhash64("pid", "start", F.lit(config.seed))
-    place = F.row_number().over(Window.partitionBy("cell", "start").orderBy(order, "pid"))
-    firsts = (
-        points.select("cell", "pid", starts.alias("start"))
-        .withColumn("part", place)
-        .where(F.col("part") <= FAN)
+    starts = (
+        _pool(points, config.seed)
         .join(wanted, "cell")
-        .where("part <= k")
-        .join(points.select("cell", "pid", "vec"), ["cell", "pid"])
-        .groupBy("cell", "start")
-        .agg(F.sort_array(F.collect_list(F.struct("part", F.col("vec").alias("center")))).alias("centers"))
+        .groupBy("cell")
+        .applyInArrow(
+            _drawn_starts(config),
+            "cell long, start int, centers array<struct<part: int, center: array<double>>>",
+        )
     )
-    tried = _moved(through_table(firsts, "centers"), points)
-    best = F.min_by(F.struct("start", "centers", "cost"), F.struct("cost", "start")).alias("best")
-    now = tried.groupBy("cell").agg(best).select("cell", "best.*")
-    now, done, steps = through_table(now, "centers"), [], 1
+    now, done, steps = _moved(through_table(starts, "centers"), points), [], 1
+    now = through_table(now, "centers")
     while steps < config.kmeans_iterations:
         # Two steps at a time: fewer passes through tables.
         middle = _moved(now.drop("cost"), points)
@@ -164,11 +228,13 @@ def _best_centers(points: DataFrame, wanted: DataFrame, config: Config) -> DataF
         after = through_table(after, "centers")
         steps += 2
         still = F.col("cost") >= F.col("before") * (1 - config.kmeans_tolerance)
-        done.append(after.where(still).select("cell", "start", "centers"))
-        now = after.where(~still).select("cell", "start", "centers", "cost")
+        done.append(after.where(still).drop("before"))
+        now = after.where(~still).drop("before")
         if now.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-    return reduce(DataFrame.unionByName, [*done, now.drop("cost")])
+            break
+    ended = reduce(DataFrame.unionByName, [*done, now])
+    best = F.min_by(F.struct("start", "centers"), F.struct("cost", "start")).alias("best")
+    return ended.groupBy("cell").agg(best).select("cell", "best.*")
 
 
 def fit_clusters(records: DataFrame, config: Config) -> DataFrame:

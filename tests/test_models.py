@@ -2,6 +2,8 @@ import collections
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kindred.config import Config
@@ -131,6 +133,49 @@ def test_clusters_cover_every_record_once(spark, members):
     assert len({(r.cell, r.cluster_id) for r in got}) == len(set(labels.values()))
 
 
+def spread_sum(matrix, labels):
+    return sum(((rows - rows.mean(0)) ** 2).sum() for c in set(labels) for rows in [matrix[np.array(labels) == c]])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_centers_cost_no_more_than_those_of_a_plain_kmeans(spark, seed):
+    # Blobs of very different sizes and widths, which starts drawn evenly miss.
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(3, 200, 24)
+    blobs = [rng.normal(size=6) * 40 + rng.normal(size=(n, 6)) * rng.uniform(0.2, 3) for n in sizes]
+    matrix = np.concatenate(blobs)
+    points = frame(spark, matrix, "vec").select(
+        F.lit(7).cast("long").alias("cell"), F.col("record_id").alias("pid"), "vec", F.lit(1.0).alias("weight")
+    )
+    wanted = points.select("cell", F.lit(16).alias("k")).distinct()
+    centers = clusters._best_centers(points, wanted, Config())
+    mine = [r.part for r in clusters._parts(centers, points).orderBy("pid").collect()]
+    vectors = points.select("pid", array_to_vector("vec").alias("features"))
+    plain = KMeans(k=16, seed=seed, tol=1e-6, maxIter=200).fit(vectors).transform(vectors)
+    theirs = [r.prediction for r in plain.orderBy("pid").collect()]
+    assert spread_sum(matrix, mine) <= spread_sum(matrix, theirs) * 1.0001
+
+
+def test_pool_weighs_all_points_and_draws_distinct_ones(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i % 3, i, rng.normal(size=4).tolist(), float(1 + i % 5)) for i in range(600)]
+    # One cell has fewer points than are drawn, one has a point far away, which must be drawn.
+    rows += [(9, 1000 + i, [float(i)] * 4, 2.0) for i in range(5)] + [(0, 2000, [1e4] * 4, 1.0)]
+    points = spark.createDataFrame(rows, "cell LONG, pid LONG, vec ARRAY<DOUBLE>, weight DOUBLE")
+    pool = clusters._pool(points, 42).collect()
+    assert len({(r.cell, r.pid) for r in pool}) == len(pool)
+    assert {r.pid for r in pool if r.cell == 9} == {1000, 1001, 1002, 1003, 1004}
+    assert 2000 in {r.pid for r in pool if r.cell == 0}
+    for cell in (0, 1, 2, 9):
+        of = [r for r in pool if r.cell == cell]
+        assert len(of) <= 1 + clusters.ROUNDS * clusters.DRAWN
+        mine = [(np.array(v), w) for c, _, v, w in rows if c == cell]
+        want = collections.Counter()
+        for v, w in mine:
+            want[min(of, key=lambda r: (((v - np.array(r.center)) ** 2).sum(), r.pid)).pid] += w
+        assert {r.pid: r.weight for r in of} == dict(want)
+
+
 def test_a_cluster_may_hold_only_copies(spark):
     got = clusters.fit_clusters(frame(spark, np.ones((200, 2)), "vec"), Config()).collect()
     assert len(got) == 200 and len({r.cluster_id for r in got}) == 1
