@@ -1,11 +1,11 @@
-"""Text functions on columns. All but the exact HTML mode stay in the JVM."""
+"""Text functions on columns. All of them stay in the JVM."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from html.parser import HTMLParser
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,43 +74,57 @@ def lower_trim(text: Column) -> Column:
     return F.btrim(F.lower(text.cast("string")), F.lit(WHITESPACE))
 
 
-class _Text(HTMLParser):
-    """Collects character data, entities decoded."""
+# Names of characters as HTML 5 lists them; some may stand without their semicolon.
+_BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+# Numbers that stand for another character than the one they count: windows-1252, and none for 0x81.
+_OF_NUMBER = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+_REFERENCE = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{0,31};|(?:%s))" % "|".join(_BARE)
 
-    def __init__(self, drop_script: bool) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.skipping = 0
-        self.drop_script = drop_script
 
-    def handle_starttag(self, tag, attrs):
-        if self.drop_script and tag in ("script", "style"):
-            self.skipping += 1
+def _constant_map(values: dict[str, str]) -> Column:
+    """One literal, folded by the optimizer."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
-    def handle_endtag(self, tag):
-        if self.drop_script and tag in ("script", "style") and self.skipping:
-            self.skipping -= 1
 
-    def handle_data(self, data):
-        if not self.skipping:
-            self.parts.append(data)
+def _character(number: Column) -> Column:
+    """The character of a number, U+FFFD where there is none, nothing for controls and unused numbers."""
+    code = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number).otherwise(0xFFFD)
+    control = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
+    unused = number.between(0xFDD0, 0xFDEF) | (number.between(0, 0x10FFFF) & (number.bitwiseAND(0xFFFE) == 0xFFFE))
+    # Four bytes of UTF-32, big end first.
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(control | unused, F.lit("")).otherwise(text)
 
 
-def _parse_html(text: str | None, drop_script: bool) -> str | None:
-    if text is None or ("<" not in text and "&" not in text):
-        return text
-    parser = _Text(drop_script)
-    parser.feed(text)
-    parser.close()
-    return "".join(parser.parts)
+def decode_entities(text: Column) -> Column:
+    """Decodes named, decimal and hexadecimal character references, once each and from left to right.
 
+    Names without a semicolon are decoded where HTML 5 allows that; unknown names stay as they are,
+    numbers without a character become U+FFFD, those of controls and unused ones go. Null stays null.
+    Everything runs in the JVM.
+    """
 
-def _parsed(text: Column, drop_script: bool) -> Column:
-    @F.pandas_udf("string")
-    def parse(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: _parse_html(t, drop_script), na_action="ignore")
+    def decoded(reference: Column) -> Column:
+        name = F.substring(reference, 2, 40)
+        digits = F.regexp_extract(name, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+        # Numbers of more digits than a character can have stand for none.
+        number = F.when(F.length(digits) > 7, F.lit(-1)).otherwise(
+            F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        )
+        number = F.coalesce(number, F.lit(0))
+        numeric = F.coalesce(F.element_at(of_number, number.cast("string")), _character(number))
+        # A name that is not known as a whole may begin with one that needs no semicolon.
+        bare = F.regexp_extract(name, "^(?:%s)" % "|".join(_BARE), 0)
+        begun = F.concat(F.element_at(named, bare), F.substr(name, F.length(bare) + 1))
+        return F.when(name.startswith("#"), numeric).otherwise(
+            F.coalesce(F.element_at(named, name), begun, reference)
+        )
 
-    return parse(text)
+    named, of_number = _constant_map(html5), _constant_map(_OF_NUMBER)
+    parts = F.split(text, _REFERENCE)
+    found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), 0), decoded)
+    joined = F.array_join(F.zip_with(parts, found, lambda p, f: F.concat(p, F.coalesce(f, F.lit("")))), "")
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 def _tags_removed(text: Column, drop_script: bool) -> Column:
@@ -122,28 +136,17 @@ def _tags_removed(text: Column, drop_script: bool) -> Column:
         )
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
     text = F.regexp_replace(text, r"</?[a-zA-Z][^>]*>|<[!?][^>]*>", "")
-    for entity, character in (
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&apos;", "'"),
-        ("&nbsp;", " "),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
-
-
-def strip_html(text: Column, exact: bool = False, drop_script: bool = True) -> Column:
-    """Text of an HTML fragment.
-
-    The fast mode removes tags with expressions and decodes the common entities; the
-    exact mode decodes every entity with the standard parser in Arrow batches. Both then
-    drop what still looks like a tag: after a bare ``<`` everything up to the next ``>``,
+    # A hard blank written as such is a plain one.
+    return decode_entities(F.replace(text, F.lit("&nbsp;"), F.lit(" ")))
+
+
+def strip_html(text: Column, drop_script: bool = True) -> Column:
+    """Text of an HTML fragment: tags are removed, then all character references decoded.
+
+    Then what still looks like a tag goes: after a bare ``<`` everything up to the next ``>``,
     or up to the end when there is none.
     """
-    text = _parsed(text, drop_script) if exact else _tags_removed(text, drop_script)
+    text = _tags_removed(text, drop_script)
     text = F.regexp_replace(text, "<[^>]+>", "")
     text = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
     text = F.regexp_replace(text, "<[^>]+", "")
@@ -204,7 +207,6 @@ def join_tokens(tokens: Column) -> Column:
 def clean_tokens(
     text: Column,
     stop_words: Sequence[str] = STOP_WORDS,
-    exact_html: bool = False,
     drop_script: bool = True,
 ) -> Column:
     """Clean tokens of a text, before lemmas.
@@ -217,7 +219,7 @@ def clean_tokens(
     lowered = lower_trim(text)
     # Texts without a tag or an entity skip the markup steps.
     plain = F.when(
-        text.contains("<") | text.contains("&"), strip_html(lowered, exact_html, drop_script)
+        text.contains("<") | text.contains("&"), strip_html(lowered, drop_script)
     ).otherwise(lowered)
     masked = mask_phones(mask_emails(mask_urls(plain)))
     runs = F.regexp_extract_all(masked, F.lit("[a-z_]+"), 0)

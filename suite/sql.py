@@ -6,6 +6,8 @@ Every step of the text pipeline is its own expression here.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from kindred.config import TEXT_FIELDS
 from kindred.functions.text import (
     ENGLISH_STOP_WORDS,
@@ -26,15 +28,35 @@ def lower_trim(x: str) -> str:
     return f"trim(lower({x}), {literal(WHITESPACE)})"
 
 
+def entities(x: str) -> str:
+    """Character references decoded: the text between them and the characters, in turns."""
+    known = ", ".join(f"{literal(n)}: {literal(c)}" for n, c in sorted(html5.items()))
+    bare = "|".join(sorted((n for n in html5 if ";" not in n), reverse=True))
+    windows = ", ".join(
+        f"{n}: {literal(bytes([n]).decode('cp1252'))}" for n in range(128, 160) if n not in (129, 141, 143, 144, 157)
+    )
+    reference = literal(f"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{{0,31}};|(?:{bare}))")
+    number = """CASE WHEN r[3] IN ('x', 'X') THEN try_cast('0x' || regexp_extract(r, '^&#.([0-9a-fA-F]+)', 1) AS BIGINT)
+        ELSE try_cast(regexp_extract(r, '[0-9]+') AS BIGINT) END"""
+    character = f"""CASE WHEN MAP {{{windows}}}[n] IS NOT NULL THEN MAP {{{windows}}}[n]
+        WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007
+            OR (n <= 1114111 AND n % 65536 >= 65534) THEN ''
+        WHEN n IS NULL OR n = 0 OR n > 1114111 OR n BETWEEN 55296 AND 57343 THEN chr(65533)
+        ELSE chr(n::INTEGER) END"""
+    begun = f"regexp_extract(r, '^&({bare})', 1)"
+    one = f"""CASE WHEN r IS NULL THEN '' WHEN r[2] = '#' THEN list_transform([{number}], lambda n: {character})[1]
+        ELSE coalesce(MAP {{{known}}}[r[2:]], MAP {{{known}}}[{begun}] || r[length({begun}) + 2:], r) END"""
+    return f"""CASE WHEN {x} LIKE '%&%' THEN list_aggregate(list_transform(
+        list_zip(regexp_split_to_array({x}, {reference}),
+                 list_transform(regexp_extract_all({x}, {reference}), lambda r: {one})),
+        lambda z: z[1] || coalesce(z[2], '')), 'string_agg', '') ELSE {x} END"""
+
+
 def strip_html(x: str) -> str:
     x = _replace(x, r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", "")
     x = _replace(x, r"(?s)<!--.*?-->", "")
     x = _replace(x, r"</?[a-zA-Z][^>]*>|<[!?][^>]*>", "")
-    for entity, by in (
-        ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-        ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
-    ):
-        x = f"replace({x}, {literal(entity)}, {literal(by)})"
+    x = entities(f"replace({x}, '&nbsp;', ' ')")
     x = _replace(x, "<[^>]+>", "")
     x = f"replace({x}, '&nbsp;', ' ')"
     x = _replace(x, "<[^>]+", "")

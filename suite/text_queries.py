@@ -92,11 +92,10 @@ def strip_html(spark, sf):
     )
 
 
-@query("strip_html_exact")
-def strip_html_exact(spark, sf):
-    """Every entity decoded by the standard parser."""
+@query("decode_entities", f"SELECT page_id, {s.entities('html')} AS text FROM pages")
+def decode_entities(spark, sf):
     return views.table(spark, sf, "pages").select(
-        "page_id", tx.strip_html(F.col("html"), exact=True).alias("text")
+        "page_id", tx.decode_entities(F.col("html")).alias("text")
     )
 
 

@@ -1,10 +1,14 @@
+import html
+import html.entities
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import text as tx
 from kindred.operators import cleaning
+from suite import sql
 
 
 def apply(spark, fn, *texts):
@@ -25,12 +29,28 @@ def test_html_bare_less_than_loses_the_rest(spark):
     ]
 
 
-def test_html_exact_decodes_every_entity(spark):
-    def exact(c):
-        return tx.strip_html(c, exact=True)
+REFERENCES = [
+    "&eacute;&#233;&#xE9;&#XE9 &copy &copy; &notit; &notin; &ampx; &amp;lt; &amp=1",
+    "&#0; &#x80; &#150; &#xD800; &#x110000; &#99999999999999999999; &#x1F600; &#11; &#xFFFE; &#13;",
+    "& &; &# &#; &#x; &nosuch; &nosuch &" + "a" * 40 + "; &NotEqualTilde; &&amp;& &#0000000000233;",
+    "no reference", "", "&amp;", "a&lt;b&gt;", "&#129; &#x9f &#1; &#x1FFFF; &#xFDD0;",
+]
+
+
+def test_entities_equal_the_standard_decoder(spark):
+    every = ["".join(f"[&{name}]" for name in html.entities.html5)]
+    texts = REFERENCES + every + ["&eacute" * 20_000]
+    assert apply(spark, tx.decode_entities, *texts, None) == [html.unescape(t) for t in texts] + [None]
+
+
+def test_entities_in_sql_equal_the_standard_decoder():
+    rows = duckdb.sql(f"SELECT {sql.entities('t')} FROM (SELECT unnest($1) AS t)", params=[REFERENCES]).fetchall()
+    assert [r[0] for r in rows] == [html.unescape(t) for t in REFERENCES]
+
 
-    got = apply(spark, exact, "<p title='a>b'>&eacute;&#8364;</p><script>x</script>", None)
-    assert got == ["é€", None]
+def test_html_decodes_every_entity(spark):
+    got = apply(spark, tx.strip_html, "<p title='a'>&eacute;&#8364;&#xE9;</p><script>x</script>", None)
+    assert got == ["é€é", None]
 
 
 # Patterns as public documentation of the behaviour states them, for Python.
