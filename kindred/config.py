@@ -31,6 +31,8 @@ class Config:
     window_size: int = 3
     min_count: int = 1
     word2vec_iterations: int = 10
+    # Words more frequent than this share of all words are thinned out in training, 0 keeps all.
+    word2vec_sample: float = 0.0
     # Partitions for training word vectors; None takes the session's parallelism.
     word2vec_partitions: int | None = None
     pca_components: int = 100

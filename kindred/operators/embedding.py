@@ -19,8 +19,40 @@ from kindred.operators.exact import PART_TYPES, PARTS, carried, combine, lists,
 from kindred.session import through_table
 
 
+def subsample(
+    records: DataFrame, threshold: float, seed: int, key: str = "record_id", tokens_col: str = "tokens"
+) -> DataFrame:
+    """Thins out words whose share f of all tokens is high: each occurrence stays with chance
+    (sqrt(f / threshold) + 1) * threshold / f.
+
+    An occurrence is drawn by a hash of the record's key, its place and the word, so reruns agree; rows
+    with the same key and the same word at a place are drawn alike. Only words with a share above 2.6
+    times the threshold have a chance below 1, so the table of chances has fewer than 1 / (2.6 *
+    threshold) words at any size of the corpus. Null tokens and null lists stay as they are.
+    """
+    counts = records.select(F.explode(tokens_col).alias("word")).groupBy("word").count().where("word is not null")
+    shares = counts.join(counts.agg(F.sum("count").alias("all"))).select(
+        "word", (F.col("count") / F.col("all") / threshold).alias("f")
+    )
+    chance = (F.sqrt("f") + 1) / F.col("f")
+    rare = shares.where(chance < 1).agg(F.map_from_entries(F.collect_list(F.struct("word", chance))).alias("_chances"))
+
+    def stays(word, place):
+        bits = F.shiftrightunsigned(F.xxhash64(F.col(key), place, word, F.lit(seed)), 11)
+        return F.coalesce(bits / 2.0**53 < F.element_at("_chances", word), F.lit(True))
+
+    kept = records.join(rare).withColumn(tokens_col, F.filter(tokens_col, stays))
+    return kept.drop("_chances")
+
+
 def fit_word_vectors(records: DataFrame, config: Config, tokens_col: str = "tokens") -> DataFrame:
-    """(word, vector ARRAY<DOUBLE>) from Spark's skip-gram Word2Vec."""
+    """(word, vector ARRAY<DOUBLE>) from Spark's skip-gram Word2Vec.
+
+    With ``word2vec_sample`` frequent words are thinned out first (see ``subsample``). Null tokens and null
+    lists teach nothing.
+    """
+    if config.word2vec_sample > 0:
+        records = subsample(records, config.word2vec_sample, config.seed, tokens_col=tokens_col)
     partitions = config.word2vec_partitions or records.sparkSession.sparkContext.defaultParallelism
     model = Word2Vec(
         vectorSize=config.vector_size,
@@ -31,7 +63,7 @@ def fit_word_vectors(records: DataFrame, config: Config, tokens_col: str = "toke
         seed=config.seed,
         inputCol=tokens_col,
         outputCol="_vector",
-    ).fit(records.select(tokens_col))
+    ).fit(records.where(F.col(tokens_col).isNotNull()).select(F.array_compact(tokens_col).alias(tokens_col)))
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 

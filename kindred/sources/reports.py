@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# ---- Fixed values: first lines of the reports -------------------------------
+KEYWORD_HEADER = "keyword,count,related phrase,related keyword,number of related bugs"
+CANDIDATE_HEADER = "cluster_id : candidate word"
+# -----------------------------------------------------------------------------
+
 
 def keyword_report_line() -> Column:
     """keyword, count, phrases, words, number of records; lists joined by ``;``."""
@@ -44,5 +49,39 @@ def candidate_lines(candidates: DataFrame) -> DataFrame:
     )
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    lines.select("line").write.text(path)
+def write_lines(lines: DataFrame, path: str, header: str | None = None) -> None:
+    """Lines in the order of their partitions; a header is the first line of the first file."""
+    lines = lines.select("line")
+    if header is not None:
+        first = lines.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("line"))
+        lines = first.unionAll(lines)
+    lines.write.text(path)
+
+
+def write_keyword_report(report: DataFrame, path: str) -> None:
+    """The report under its header, most frequent keywords first, then by name."""
+    ordered = report.orderBy(F.col("count").desc(), "keyword")
+    write_lines(keyword_report_lines(ordered), path, KEYWORD_HEADER)
+
+
+def write_candidates(candidates: DataFrame, path: str) -> None:
+    """One line per cluster under the header, by cluster."""
+    write_lines(candidate_lines(candidates.orderBy("cluster_id")), path, CANDIDATE_HEADER)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line): the lines of a report in order; ``place`` counts from 0 without gaps.
+
+    Files are numbered by name, so a prefix sum over one row per file gives each file its first place.
+    """
+    name = F.col("_metadata.file_name")
+    lines = spark.read.option("wholetext", False).text(path).select(
+        name.alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
+    )
+    within = Window.partitionBy("file", "block").orderBy("row")
+    lines = lines.withColumn("at", F.row_number().over(within) - 1)
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(starts, ["file", "block"]).select((F.col("start") + F.col("at")).alias("place"), "line")

@@ -105,6 +105,22 @@ def candidate_lines(spark, sf):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+@query(
+    "candidate_file",
+    with_ctes(
+        "fused",
+        """SELECT 0::BIGINT AS place, 'cluster_id : candidate word' AS line
+        UNION ALL SELECT row_number() OVER (ORDER BY cluster_id), cluster_id || ' : [' || string_agg('(' || chr(39) || word
+            || chr(39) || ', ' || CAST(score AS VARCHAR) || ')', ', ' ORDER BY rank) || ']' FROM fused GROUP BY cluster_id""",
+    ),
+)
+def candidate_file(spark, sf):
+    """The written report with its header, read back with the places of its lines."""
+    path = scratch_path(spark, "candidate-file")
+    reports.write_candidates(labels.candidate_lists(_fused(spark, sf)), path)
+    return reports.read_lines(spark, path)
+
+
 @query(
     "cluster_keywords",
     with_ctes(

@@ -74,6 +74,7 @@ def candidate_union(spark, sf):
     with_ctes(
         "candidates records named",
         """SELECT query_id, related_id, round(distance, 6) + 0.0 AS distance, description,
+               r.severity AS related_severity, r.manager AS related_manager,
                array_to_string(key_word, ',') AS key_word, array_to_string(key_phrase, ';') AS key_phrase
         FROM candidates c JOIN records r ON r.record_id = c.related_id
         JOIN named n ON n.cluster_id = r.project ORDER BY query_id, distance, related_id""",
@@ -136,7 +137,7 @@ def _corpus_and_queries(spark, sf):
         vectors=vectors,
         cells=_cells(vectors),
         centroids=clusters.centroid_table(vectors),
-        texts=records.select("record_id", "description"),
+        texts=records.select("record_id", "description", "severity", "manager"),
         tags=_tags(docs),
         fields=fields,
         categories=categories,
@@ -223,7 +224,7 @@ def related_nested(spark, sf):
 
 
 _FLAT_SQL = """SELECT query_id, duplicate_of, query_severity, query_manager, query_engineer, related_id,
-    is_duplicate, round(distance, 6) + 0.0 AS distance, description, key_feature,
+    is_duplicate, round(distance, 6) + 0.0 AS distance, description, related_severity, related_manager, key_feature,
     array_to_string(key_word, ',') AS key_word, array_to_string(key_phrase, ';') AS key_phrase FROM flat"""
 
 

@@ -426,7 +426,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT c.query_id, q.duplicate_of, q.severity AS query_severity,
                q.manager AS query_manager, q.engineer AS query_engineer, c.related_id,
                coalesce(c.related_id = d.duplicate_id, false) AS is_duplicate, c.distance,
-               r.description, e.key_feature, n.key_word, n.key_phrase
+               r.description, r.severity AS related_severity,
+               r.manager AS related_manager, e.key_feature, n.key_word, n.key_phrase
         FROM candidates c
         JOIN explained e ON e.query_id = c.query_id AND e.related_id = c.related_id
         JOIN decisions d ON d.query_id = c.query_id

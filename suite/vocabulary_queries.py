@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kindred.operators import vocabulary as voc
+from kindred.session import scratch_path
 from kindred.sources import reports
 from suite import views
 from suite.registry import query
@@ -116,3 +117,20 @@ def keyword_report(spark, sf):
 )
 def report_lines(spark, sf):
     return reports.keyword_report_lines(_report(spark, sf))
+
+
+@query(
+    "report_file",
+    with_ctes(
+        "report",
+        """SELECT 0::BIGINT AS place, 'keyword,count,related phrase,related keyword,number of related bugs' AS line
+        UNION ALL SELECT row_number() OVER (ORDER BY count DESC, keyword), concat_ws(',', keyword,
+            CAST(count AS VARCHAR), array_to_string(phrases, ';'), array_to_string(words, ';'),
+            CAST(n_records AS VARCHAR)) FROM report""",
+    ),
+)
+def report_file(spark, sf):
+    """The written report, read back with the places of its lines."""
+    path = scratch_path(spark, "keyword-report")
+    reports.write_keyword_report(_report(spark, sf), path)
+    return reports.read_lines(spark, path)

@@ -103,6 +103,32 @@ def test_word_vectors_cover_the_vocabulary(spark):
     assert {r.word for r in got} == {"x", "y", "z"} and all(len(r.vector) == 8 for r in got)
 
 
+def test_frequent_words_are_thinned_out_at_the_expected_rates(spark):
+    rng = np.random.default_rng(12)
+    names = ["the", "of", *(f"w{i}" for i in range(2000))]
+    chances = np.array([0.3, 0.1, *[0.6 / 2000] * 2000])
+    rows = [(f"r{i}", [names[j] for j in rng.choice(2002, 50, p=chances)]) for i in range(1200)]
+    rows += [("null", None), ("none", []), (None, [None, "w1"])]
+    records = spark.createDataFrame(rows, "record_id STRING, tokens ARRAY<STRING>")
+    thinned = embedding.subsample(records, 1e-2, 42)
+    got = {r.record_id: r.tokens for r in thinned.collect()}
+    assert got == {r.record_id: r.tokens for r in embedding.subsample(records.repartition(3), 1e-2, 42).collect()}
+    assert got["null"] is None and got["none"] == [] and got[None] == [None, "w1"]
+    before = collections.Counter(t for _, tokens in rows for t in tokens or [] if t)
+    after = collections.Counter(t for tokens in got.values() for t in tokens or [] if t)
+    total = sum(before.values())
+    for word in ("the", "of"):
+        f = before[word] / total / 1e-2
+        p = (f**0.5 + 1) / f
+        assert abs(after[word] - p * before[word]) < 4 * (before[word] * p * (1 - p)) ** 0.5
+    assert all(after[w] == n for w, n in before.items() if w not in ("the", "of"))
+    # Left out by default, and a fit with it still covers every word that is left.
+    assert Config().word2vec_sample == 0
+    few = records.where("record_id < 'r11'")
+    vectors = embedding.fit_word_vectors(few, Config(vector_size=4, word2vec_iterations=1, word2vec_sample=1e-2))
+    assert {"the", "of"} <= {r.word for r in vectors.collect()}
+
+
 def test_number_of_clusters(spark):
     rows = spark.createDataFrame([(0,), (1,), (5,), (100,), (419,)], "n LONG")
     picked = rows.select("n", clusters.number_of_clusters(F.col("n")).alias("k"))

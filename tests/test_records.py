@@ -176,6 +176,31 @@ def test_report_line(spark):
     assert reports.keyword_report_lines(df).first().line == "k,3,a k;k b,k;a,2"
 
 
+def test_reports_are_written_under_their_headers(spark):
+    rows = [(f"k{i}", i % 7, [f"p{i}", "x y"], [f"w{i}"], i) for i in range(500)]
+    df = spark.createDataFrame(
+        rows, "keyword STRING, count LONG, phrases ARRAY<STRING>, words ARRAY<STRING>, n_records LONG"
+    ).repartition(5)
+    path = scratch_path(spark, "keywords")
+    reports.write_keyword_report(df, path)
+    got = reports.read_lines(spark, path).orderBy("place").collect()
+    ordered = sorted(rows, key=lambda r: (-r[1], r[0]))
+    want = [f"{k},{n},{';'.join(p)},{';'.join(w)},{m}" for k, n, p, w, m in ordered]
+    assert [r.place for r in got] == list(range(501))
+    assert [r.line for r in got] == [reports.KEYWORD_HEADER, *want]
+
+    path = scratch_path(spark, "candidates")
+    df = spark.createDataFrame(
+        [(2, [(1, "b", 0.5)]), (1, [(1, "a", 2.0), (2, "c", 1.9)])],
+        "cluster_id LONG, candidates ARRAY<STRUCT<rank: INT, word: STRING, score: DOUBLE>>",
+    )
+    reports.write_candidates(df, path)
+    got = [r.line for r in reports.read_lines(spark, path).orderBy("place").collect()]
+    assert got == [reports.CANDIDATE_HEADER, "1 : [('a', 2.0), ('c', 1.9)]", "2 : [('b', 0.5)]"]
+    reports.write_candidates(df.limit(0), f"{path}-empty")
+    assert [r.line for r in reports.read_lines(spark, f"{path}-empty").collect()] == [reports.CANDIDATE_HEADER]
+
+
 def test_csv_keeps_quotes_breaks_and_nulls(spark):
     df = spark.createDataFrame(
         [(1, 'a "q", b\nc'), (2, None), (3, ""), (4, " x "), (5, "back\\slash")], "i INT, t STRING"

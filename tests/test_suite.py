@@ -66,6 +66,9 @@ def test_jobs(spark):
     assert some.select("query_id").distinct().count() == 11
     assert store.table("quality").count() == 1
     path = scratch_path(spark, "out")
+    jobs.write_vocabulary(store, path)
+    for name, table in (("keywords", "keyword_report"), ("candidates", "candidates")):
+        assert spark.read.text(f"{path}/{name}").count() == store.table(table).count() + 1
     jobs.write_report(scored, path)
     documents = spark.read.json(f"{path}/json")
     assert documents.count() == views.new_records(spark, SMALL).count()
