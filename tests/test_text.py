@@ -172,3 +172,30 @@ def test_cleaning_stays_in_the_jvm(spark, capsys):
     rows.select(tx.clean_text(F.col("t"))).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_masks_are_skipped_only_where_nothing_can_begin(spark, capsys):
+    def masked(c):
+        lowered = tx.lower_trim(c)
+        plain = F.when(c.contains("<") | c.contains("&"), tx.strip_html(lowered)).otherwise(lowered)
+        runs = F.regexp_extract_all(tx.mask_phones(tx.mask_emails(tx.mask_urls(plain))), F.lit("[a-z_]+"), 0)
+        return tx.remove_stop_words(F.filter(runs, tx._token_length_ok))
+
+    texts = ["HTTP://Ab.Cd/ef gh", "mail joe.doe@ab.cd now", "call +4412345678 abcdef", "call *1 23456 abcdef\nnext"]
+    texts += ["a&#64;b joe&#64;ab.cd &#43;4412345678 abc", "http&#58;//ab.cd/x yes", "plain words only", "", None, "Kelvin @ 0abc"]
+    assert apply(spark, tx.clean_tokens, *texts) == apply(spark, masked, *texts)
+    spark.createDataFrame([("x",)], "t STRING").select(tx.clean_tokens(F.col("t"))).explain()
+    plan = capsys.readouterr().out
+    assert all(f"Contains(t#" in plan and f", {sign})" in plan for sign in ("://", "@", "+", "*"))
+
+
+def test_valid_tokens_take_one_look_at_a_token(spark, capsys):
+    def three(c):
+        return F.filter(c, lambda t: ~t.rlike(f"[^{tx.TOKEN_CHARACTERS}]") & ~t.rlike("^[0-9]+$") & (F.length(t) >= 2))
+
+    tokens = ["ab", "a", "12", "1", "1a", "a1", "12\n", "ab\n", "1\n2", "", "ét", "a b", "--", "-", "1.", "\U0001f600a", "&&", "9" * 5000 + "x", None]
+    rows = spark.createDataFrame([(tokens,), (None,), ([],)], "t ARRAY<STRING>")
+    got = rows.select(tx.valid_tokens(F.col("t")).alias("got"), three(F.col("t")).alias("want"))
+    assert all(r.got == r.want for r in got.collect())
+    got.select("got").explain()
+    assert capsys.readouterr().out.count("RLIKE") == 1
