@@ -1,6 +1,7 @@
 import collections
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -277,3 +278,30 @@ def test_split_keeps_every_digit():
     assert np.allclose(exact.value(hi, lo), x, rtol=2**-52, atol=2**-52)
     a, b = exact.carried(hi * 7, lo * 7)
     assert (b >= 0).all() and (b < 2**40).all() and np.allclose(exact.value(a, b), 7 * x, rtol=1e-15, atol=1e-15)
+
+
+def test_words_of_all_chunks_are_looked_up_at_once(monkeypatch):
+    names, size = [f"w{i}" for i in range(40)], 3
+    vectors = np.random.default_rng(5).integers(-9, 9, (40, size)).astype(float)
+    chunks = [(["w3", "new", "w7"], [(0, 0, 2), (0, 1, 1), (1, 2, 4)]), (["w7", "w39"], [(2, 1, 1), (3, 0, 5)]), (["no"], [(4, 0, 1)])]
+    rows = [(p, names[:25], vectors[:25].tobytes(), None, None, None) for p in (0, 1)]
+    rows += [(p, names[25:], vectors[25:].tobytes(), None, None, None) for p in (0, 1)]
+    for p in (0, 1):
+        for words, cells in chunks:
+            of, at, counts = (np.array(x) for x in zip(*cells))
+            rows.append((p, words, None, (of + 10 * p).astype(np.int64).tobytes(), at.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()))
+    rows.sort(key=lambda r: (r[0], r[2] is None))
+    kinds = [pa.int32(), pa.list_(pa.string()), *[pa.binary()] * 4]
+    names_ = ["_place", "_words", "_vectors", "_rows", "_at", "_counts"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names_)
+    calls, real = [], embedding.pc.index_in
+    monkeypatch.setattr(embedding.pc, "index_in", lambda *a: calls.append(1) or real(*a))
+    got = {}
+    for cut in ([batch], [batch.slice(0, 4), batch.slice(4)]):
+        calls.clear()
+        out = [b for b in embedding._multiplied(size, 1)(iter(cut))]
+        got = {r["_row"]: exact.value(np.array(r["_hi"]), np.array(r["_lo"])).tolist() for b in out for r in b.to_pylist()}
+        for p in (0, 1):
+            assert got[10 * p] == (2 * vectors[3]).tolist() and got[10 * p + 1] == (4 * vectors[7]).tolist()
+            assert got[10 * p + 2] == vectors[39].tolist() and got[10 * p + 3] == (5 * vectors[7]).tolist()
+        assert len(got) == 8 and len(calls) == 1 + len(cut)
