@@ -247,3 +247,14 @@ def test_unknown_ids_are_reported(spark):
     queries = spark.createDataFrame([("a",), ("z",)], "record_id STRING")
     assert [r.record_id for r in rows.known_ids(queries, records).collect()] == ["a"]
     assert [r.record_id for r in rows.unknown_ids(queries, records).collect()] == ["z"]
+
+
+def test_words_mode_skips_values_that_set_nothing(spark, capsys):
+    known = F.array(F.lit("red"), F.lit("blue one"), F.lit("two"))
+    values = ["red", "blue one", " two red ", "x", "", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v STRING")
+    coded = rows.select("i", cat.multi_hot(F.col("v"), known, "words").alias("hot"))
+    got = [r.hot for r in coded.orderBy("i").collect()]
+    assert got == [[1, 0, 0], [0, 0, 0], [1, 0, 1], [0, 0, 0], [0, 0, 0], [0, 0, 0]]
+    coded.explain()
+    assert "arrays_overlap" in capsys.readouterr().out
