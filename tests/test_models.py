@@ -1,4 +1,5 @@
 import collections
+import dataclasses
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from kindred.config import Config
-from kindred.operators import clusters, embedding, exact, scaling
+from kindred.operators import clusters, embedding, exact, scaling, skipgram
 from kindred.session import scratch_path
 from kindred.sources.artifacts import ArtifactStore
 
@@ -104,6 +105,57 @@ def test_word_vectors_cover_the_vocabulary(spark):
     assert {r.word for r in got} == {"x", "y", "z"} and all(len(r.vector) == 8 for r in got)
 
 
+def test_word_vectors_are_a_table_dealt_out_in_chunks(spark):
+    # Two kinds of records: words of a kind share their contexts and come to lie together.
+    rng = np.random.default_rng(21)
+    rows = [(f"r{i}", [f"{'ab'[i % 2]}{j}" for j in rng.integers(0, 12, 40)]) for i in range(900)]
+    rows += [("null", None), ("none", []), (None, [None, "alone"]), ("a0", ["a0", None, "b0"])]
+    records = spark.createDataFrame(rows, "record_id STRING, tokens ARRAY<STRING>")
+    config = Config(vector_size=8, word2vec_iterations=10, word2vec_partitions=3)
+    vectors = embedding.fit_word_vectors(records, config)
+    # The driver holds no table of the words.
+    assert vectors.inputFiles()
+    got = {r.word: np.array(r.vector) for r in vectors.collect()}
+    assert vectors.count() == len(got) == 25 and all(np.isfinite(v).all() and len(v) == 8 for v in got.values())
+    unit = {w: v / np.linalg.norm(v) for w, v in got.items()}
+    alike = [unit[f"{k}{i}"] @ unit[f"{k}{j}"] for k in "ab" for i in range(12) for j in range(i)]
+    apart = [unit[f"a{i}"] @ unit[f"b{j}"] for i in range(12) for j in range(12)]
+    assert min(alike) > max(apart)
+    few = embedding.fit_word_vectors(records, dataclasses.replace(config, min_count=3))
+    assert {r.word for r in few.collect()} == set(got) - {"alone"}
+
+
+def test_a_pass_follows_the_gradient_of_its_pairs():
+    rng = np.random.default_rng(5)
+    n, words, size = 200, 30, 6
+    ids, record = rng.integers(0, words, n), np.sort(rng.integers(0, 20, n))
+    vectors, contexts = rng.normal(size=(2, words, size)).astype(np.float32) / 3
+    after, around = vectors.copy(), contexts.copy()
+    skipgram.train(ids, record, after, around, 1, (0.01, 0.01), np.random.default_rng(7))
+    same = np.random.default_rng(7)
+    same.integers(1, 2, n + skipgram.CENTRES)
+    chances = np.cumsum(np.bincount(ids, minlength=words) ** 0.75)
+    others = np.searchsorted(chances / chances[-1], same.random(skipgram.SHARED), "right")
+    want, want_around = vectors.astype(float), contexts.astype(float)
+    share = skipgram.NEGATIVES / skipgram.SHARED
+    load, load_around = np.zeros(words), np.zeros(words)
+    move, move_around = np.zeros((words, size)), np.zeros((words, size))
+    for i in range(n):
+        for j in (i - 1, i + 1):
+            if 0 <= j < n and record[i] == record[j]:
+                targets = [(ids[j], 1, 1)] + [(o, 0, share) for o in others]
+                for target, label, weight in targets:
+                    x, y = vectors[ids[i]].astype(float), contexts[target].astype(float)
+                    pull = weight * (label - 1 / (1 + np.exp(-x @ y)))
+                    move[ids[i]] += pull * y
+                    move_around[target] += pull * x
+                    load_around[target] += weight
+                load[ids[i]] += 1 + skipgram.NEGATIVES
+    want += 0.01 * move / np.maximum(1, load / skipgram.LOAD)[:, None]
+    want_around += 0.01 * move_around / np.maximum(1, load_around / skipgram.LOAD)[:, None]
+    assert np.allclose(after, want, atol=1e-5) and np.allclose(around, want_around, atol=1e-5)
+
+
 def test_frequent_words_are_thinned_out_at_the_expected_rates(spark):
     rng = np.random.default_rng(12)
     names = ["the", "of", *(f"w{i}" for i in range(2000))]
