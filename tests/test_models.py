@@ -235,6 +235,30 @@ def test_centers_cost_no_more_than_those_of_a_plain_kmeans(spark, seed):
     assert spread_sum(matrix, mine) <= spread_sum(matrix, theirs) * 1.0001
 
 
+def test_points_of_one_cell_are_measured_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "SLICE_ROWS", 40)
+    monkeypatch.setattr(clusters, "MOST_NUMBERS", 300)
+    rng = np.random.default_rng(31)
+    x, c = rng.integers(-3, 4, (400, 3)).astype(float), rng.integers(-3, 4, (7, 3)).astype(float)
+    rows = [(int(i >= 350), i, [float(v) for v in r], float(1 + i % 3)) for i, r in enumerate(x)]
+    points = spark.createDataFrame(rows, "cell LONG, pid LONG, vec ARRAY<DOUBLE>, weight DOUBLE")
+    lists = [(cell, 0, [(j, r.tolist()) for j, r in enumerate(c) if j > cell]) for cell in (0, 1)]
+    centers = spark.createDataFrame(lists, "cell LONG, start INT, centers ARRAY<STRUCT<part: INT, center: ARRAY<DOUBLE>>>")
+    slices = {r.cell: r.slices for r in clusters._slices(points).collect()}
+    assert slices == {0: 9, 1: 2}
+    d = ((x[:, None] - c) ** 2).sum(2)
+    d[:, 0], d[350:, 1] = np.inf, np.inf
+    got = {r.pid: r for r in clusters._parts(centers, points).collect()}
+    assert [got[i].part for i in range(400)] == d.argmin(1).tolist()
+    assert np.allclose([got[i].cost for i in range(400)], d.min(1) * [r[3] for r in rows])
+    for r in clusters._moved(centers, points).collect():
+        mine = [i for i in range(400) if rows[i][0] == r.cell]
+        assert np.isclose(r.cost, sum(got[i].cost for i in mine))
+        for part, center in r.centers:
+            of = [i for i in mine if got[i].part == part]
+            assert np.allclose(center, np.average(x[of], axis=0, weights=[rows[i][3] for i in of]))
+
+
 def test_pool_weighs_all_points_and_draws_distinct_ones(spark):
     rng = np.random.default_rng(11)
     rows = [(i % 3, i, rng.normal(size=4).tolist(), float(1 + i % 5)) for i in range(600)]
