@@ -259,6 +259,17 @@ def test_points_of_one_cell_are_measured_in_slices(spark, monkeypatch):
             assert np.allclose(center, np.average(x[of], axis=0, weights=[rows[i][3] for i in of]))
 
 
+@pytest.mark.parametrize("odd", [None, [1.0, None]])
+def test_points_without_a_whole_vector_are_refused(spark, odd):
+    rows = [(0, i, odd if i == 3 else [float(i), 0.0], 1.0) for i in range(5)]
+    points = spark.createDataFrame(rows, "cell LONG, pid LONG, vec ARRAY<DOUBLE>, weight DOUBLE")
+    centers = spark.createDataFrame(
+        [(0, 0, [(0, [0.0, 0.0])])], "cell LONG, start INT, centers ARRAY<STRUCT<part: INT, center: ARRAY<DOUBLE>>>"
+    )
+    with pytest.raises(Exception, match="no vector or a null"):
+        clusters._moved(centers, points).collect()
+
+
 def test_pool_weighs_all_points_and_draws_distinct_ones(spark):
     rng = np.random.default_rng(11)
     rows = [(i % 3, i, rng.normal(size=4).tolist(), float(1 + i % 5)) for i in range(600)]
