@@ -258,3 +258,40 @@ def test_words_mode_skips_values_that_set_nothing(spark, capsys):
     assert got == [[1, 0, 0], [0, 0, 0], [1, 0, 1], [0, 0, 0], [0, 0, 0], [0, 0, 0]]
     coded.explain()
     assert "arrays_overlap" in capsys.readouterr().out
+
+
+def test_frequent_words_settle_keywords_and_the_rest_is_counted_in_full(spark, monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    words = [f"w{i:02d}" for i in range(60)]
+    lists = [[words[int(rng.random() ** 3 * 60)] for _ in range(rng.randrange(0, 30))] for _ in range(80)]
+    docs = token_frame(spark, [(0, t) for t in lists])
+    keywords = spark.createDataFrame([(w,) for w in words], "keyword STRING")
+    monkeypatch.setattr(voc, "FREQUENT", 50)
+    monkeypatch.setattr(voc, "_TOKENS", 40)
+    got = collections.defaultdict(list)
+    for r in voc.cooccurring_words(docs, keywords).orderBy("keyword", "rank").collect():
+        got[r.keyword].append((r.word, r.n))
+    for word in words:
+        together = collections.Counter(w for t in lists if word in t for w in t)
+        assert got[word] == sorted(together.items(), key=lambda x: (-x[1], x[0]))[:5]
+
+
+def test_records_that_share_an_id_share_their_keywords(spark):
+    docs = spark.createDataFrame(
+        [("a", ["k", "x"]), ("a", ["y"]), ("b", ["k", "z"]), (None, ["k"])], "record_id STRING, tokens ARRAY<STRING>"
+    )
+    keywords = spark.createDataFrame([("k",)], "keyword STRING")
+    got = {r.word: r.n for r in voc.cooccurring_words(docs, keywords).collect()}
+    assert got == {"k": 2, "x": 1, "y": 1, "z": 1}
+    scored = sorted(map(tuple, voc.scored_records(docs, keywords).select("record_id", "score").collect()))
+    assert scored == [("a", 1)] * 2 + [("a", 2)] * 2 + [("b", 2)]
+
+
+def test_scored_records_shuffle_no_tokens(spark):
+    docs = token_frame(spark, [(0, ["a", "b", "c", "k", "d"]), (0, ["k"])])
+    words = spark.createDataFrame([("k", ["k", "a"])], "keyword STRING, words ARRAY<STRING>")
+    scored = voc.scored_records(docs, words, words)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.score, r.phrase) for r in scored.collect()) == [(1, "k"), (2, "b c k d")]
