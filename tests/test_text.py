@@ -199,3 +199,18 @@ def test_valid_tokens_take_one_look_at_a_token(spark, capsys):
     assert all(r.got == r.want for r in got.collect())
     got.select("got").explain()
     assert capsys.readouterr().out.count("RLIKE") == 1
+
+
+def test_lemmas_are_looked_up_in_parts_of_a_batch(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = [["a", "b", None], None, [], ["a"] * 9, ["b", "a"], ["a"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["tokens"])
+    monkeypatch.setattr(cleaning, "PART_TOKENS", 4)
+    parts = [p.column("tokens").to_pylist() for p in cleaning._parts([batch.slice(0)], ["tokens"])]
+    assert [r for p in parts for r in p] == rows
+    assert all(len(p) == 1 or sum(len(r or ()) for r in p) <= 4 for p in parts) and len(parts) == 3
+    records = spark.createDataFrame([(r,) for r in rows], "tokens ARRAY<STRING>")
+    lemmas = spark.createDataFrame([("a", "x")], "token STRING, lemma STRING")
+    got = [r.tokens for r in cleaning.replace_tokens(records.coalesce(1), lemmas, ["tokens"]).collect()]
+    assert got == [r and ["x" if t == "a" else t for t in r] for r in rows]
