@@ -341,6 +341,32 @@ def test_word_table_in_several_blocks(spark, monkeypatch):
         assert np.allclose(found[0][i], np.mean([vectors[t] for t in tokens], axis=0), rtol=1e-12, atol=1e-14)
 
 
+def test_chunks_fetch_vectors_and_send_no_sums(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    # Vectors of whole numbers travel in four bytes, the others in eight.
+    vectors = {f"w{i}": (rng.integers(-9, 9, 5) if i % 2 else rng.normal(size=5)).tolist() for i in range(90)}
+    vectors = {w: [float(x) for x in v] for w, v in vectors.items()}
+    words = spark.createDataFrame(list(vectors.items()), "word STRING, vector ARRAY<DOUBLE>")
+    rows = [(i % 7 or None, [f"w{j}" for j in rng.integers(0, 99, i)], [f"w{j}" for j in rng.integers(0, 99, 3)]) for i in range(50)]
+    rows += [(3, None, ["w1", None]), (None, [], None)]
+    records = spark.createDataFrame(rows, "record_id LONG, f ARRAY<STRING>, g ARRAY<STRING>").repartition(3)
+    found = []
+    for limits in ((60, 20, 40, 30), (4_000_000, 1_000_000, 32_000_000, 4_000_000)):
+        for name, limit in zip(("BLOCK_NUMBERS", "TOKENS", "HELD", "MEANS"), limits):
+            monkeypatch.setattr(embedding, name, limit)
+        means = embedding.embed_fields(records, words, 5, ["f", "g"])
+        # No sums of records between the tasks, and nothing is joined to them.
+        plan = means._jdf.queryExecution().executedPlan().toString()
+        assert "_hi" not in plan and "SortMergeJoin" not in plan and "Aggregate" not in plan
+        found.append(sorted(map(str, means.collect())))
+    assert found[0] == found[1]
+    got = sorted((r.record_id or 0, tuple(np.round(r.f + r.g, 9))) for r in means.collect())
+    mean = lambda ts: np.mean([vectors[t] for t in ts or () if t in vectors] or [[0.0] * 5], axis=0)
+    want = sorted((k or 0, tuple(np.round(np.concatenate([mean(f), mean(g)]), 9))) for k, f, g in rows)
+    assert [k for k, _ in got] == [k for k, _ in want]
+    assert np.allclose([v for _, v in got], [v for _, v in want])
+
+
 def test_mean_vectors_do_not_depend_on_partitions(spark):
     rng = np.random.default_rng(9)
     points = rng.normal(size=(3000, 5)) * 10.0 ** rng.integers(-8, 6, size=(3000, 1))
