@@ -156,6 +156,24 @@ def test_a_pass_follows_the_gradient_of_its_pairs():
     assert np.allclose(after, want, atol=1e-5) and np.allclose(around, want_around, atol=1e-5)
 
 
+def test_later_passes_draw_no_first_vectors(monkeypatch):
+    size, words = 2, ["a", "b", "c"]
+    known = np.arange(12).reshape(3, 4).astype(skipgram.SENT) / 16
+    columns = [
+        pa.array([0] * 4, pa.int32()),
+        pa.array([None, None, None, 7], pa.int64()),
+        pa.array([None, None, None, ["a", "b", "c", "a"]], pa.list_(pa.string())),
+        pa.array([*words, None]),
+        pa.array([*(v.tobytes() for v in known), None], pa.binary()),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, ["chunk", "_row", "tokens", "word", "vec"])
+    monkeypatch.setattr(skipgram, "first_vectors", None)
+    monkeypatch.setattr(skipgram, "train", lambda *a: None)
+    [out] = skipgram._passed(size, 1, (0.01, 0.01), 1, False)(iter([batch]))
+    assert out.column("word").to_pylist() == words and out.column("n").to_pylist() == [2, 1, 1]
+    assert out.column("vec").to_pylist() == [v.tobytes() for v in known]
+
+
 def test_frequent_words_are_thinned_out_at_the_expected_rates(spark):
     rng = np.random.default_rng(12)
     names = ["the", "of", *(f"w{i}" for i in range(2000))]
