@@ -234,6 +234,32 @@ def spread_sum(matrix, labels):
     return sum(((rows - rows.mean(0)) ** 2).sum() for c in set(labels) for rows in [matrix[np.array(labels) == c]])
 
 
+def test_small_cells_are_split_to_the_end_within_one_task(spark, monkeypatch):
+    points = np.random.default_rng(31).normal(size=(500, 3)).round(2)
+    points[40:60] = points[40]
+    config = Config(members_per_cluster=10, kmeans_inits=3)
+    written, real, left = [], clusters.through_table, []
+    monkeypatch.setattr(clusters, "through_table", lambda df, name: written.append(name) or real(df, name))
+    for limit in (0, 60, 10_000):
+        monkeypatch.setattr(clusters, "TASK_POINTS", limit)
+        written.clear()
+        rows = clusters.fit_clusters(frame(spark, points, "vec"), config).collect()
+        assert sorted(r.record_id for r in rows) == list(range(500))
+        assert ("pool" in written) == (limit < 500)
+        members, cells = {}, {}
+        for r in rows:
+            members.setdefault(r.cluster_id, []).append(r.vec)
+            cells.setdefault(r.cluster_id, set()).add(r.cell)
+        assert all(len(m) < 20 or len({tuple(v) for v in m}) == 1 for m in members.values())
+        assert all(len(c) == 1 for c in cells.values()) and 25 <= len(members) <= 100
+        assert len({r.cluster_id for r in rows if r.vec == points[40].tolist()}) == 1
+        left.append(sum(((np.array(m) - np.mean(m, axis=0)) ** 2).sum() for m in members.values()))
+    assert max(left) < 1.25 * min(left)
+    nothing = spark.createDataFrame([(1, [0.0]), (2, None), *((i, [float(i)]) for i in range(3, 60))], "record_id LONG, vec ARRAY<DOUBLE>")
+    with pytest.raises(Exception, match="no vector"):
+        clusters.fit_clusters(nothing, config).collect()
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_centers_cost_no_more_than_those_of_a_plain_kmeans(spark, seed):
     # Blobs of very different sizes and widths, which starts drawn evenly miss.
