@@ -411,6 +411,19 @@ def test_chunks_fetch_vectors_and_send_no_sums(spark, monkeypatch):
     assert np.allclose([v for _, v in got], [v for _, v in want])
 
 
+def test_copies_of_the_word_table_do_not_grow_with_the_chunks(spark, monkeypatch):
+    words = spark.createDataFrame([(f"w{i}", [float(i)]) for i in range(40)], "word STRING, vector ARRAY<DOUBLE>")
+    records = spark.createDataFrame([(i, [f"w{i % 40}", "w1"]) for i in range(1500)], "record_id INT, tokens ARRAY<STRING>")
+    asked, real = [], F.sequence
+    monkeypatch.setattr(embedding, "TOKENS", 2)
+    monkeypatch.setattr(embedding.F, "sequence", lambda a, b: asked.append((a, b)) or real(a, b))
+    got = embedding.embed(records, words, 1)
+    [(low, high)] = asked
+    copies = spark.range(1).select(F.lit(0).alias("_block")).select((high - low + 1).alias("n")).first()[0]
+    assert copies <= spark.sparkContext.defaultParallelism
+    assert {r.record_id: r.vector[0] for r in got.collect()} == {i: (i % 40 + 1) / 2 for i in range(1500)}
+
+
 def test_mean_vectors_do_not_depend_on_partitions(spark):
     rng = np.random.default_rng(9)
     points = rng.normal(size=(3000, 5)) * 10.0 ** rng.integers(-8, 6, size=(3000, 1))
